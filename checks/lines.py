@@ -78,15 +78,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def access_log_from_events(events: DataFrame) -> DataFrame:
-    """``event_id`` and ``value`` for every row of a batch or streaming table."""
-    body, _ = SPARK_LINES.strip().rsplit("FROM events", 1)
-    columns = body.removeprefix("SELECT event_id,")
-    return events.select("event_id", _expr(columns))
-
+def events_for_all_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events; spread out when the file has fewer splits than there are
+    cores, as small ones do. A large table is left as it was read."""
+    events = table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores, "event_id")
+    return events
 
-def _expr(columns: str):
-    from pyspark.sql import functions as F
 
-    text, alias = columns.strip().rsplit(" AS ", 1)
-    return F.expr(text).alias(alias.strip())
+def access_log_from_events(events: DataFrame) -> DataFrame:
+    """``event_id`` and ``value`` for every row of a batch or streaming table."""
+    body = SPARK_LINES.strip().removeprefix("SELECT").removesuffix("FROM events")
+    event_id, line = body.split(",", 1)
+    return events.selectExpr(event_id, line)

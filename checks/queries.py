@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.lines import access_log_from_events, table
+from checks.lines import access_log_from_events, events_for_all_cores, table
 from logloom.functions.time import bucket_start, parse_timestamp
 from logloom.functions.traffic import cache_label, last_value, latency_bin, path_label
 from logloom.functions.uri import path_segments, query_map, uri_path, uri_query
@@ -38,7 +38,7 @@ RANGE = ("2024-01-05T00:00:00+00:00", "2024-01-20T12:00:00+00:00")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return access_log_from_events(table(spark, sf_dir, "events"))
+    return access_log_from_events(events_for_all_cores(spark, sf_dir))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

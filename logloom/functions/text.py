@@ -74,9 +74,9 @@ def split_values(value: str, cast: Callable[[str], str] | None = None) -> str:
     kept = f"filter(transform({parts}, _p -> {strip('_p')}), _p -> _p NOT IN {PLACEHOLDERS})"
     items = f"transform(_items, _i -> {cast('_i')})" if cast else "_items"
     several = let("_items", kept, f"CASE WHEN size(_items) > 0 THEN {items} END")
-    # Most lists hold one item: without a space there is nothing to split.
-    single = strip(value)
+    # Most lists hold one plain item, with nothing to split or trim.
+    single = f"array({cast(value) if cast else value})"
     return (
-        f"CASE WHEN contains({value}, ' ') THEN {several} "
-        f"WHEN {single} NOT IN {PLACEHOLDERS} THEN array({cast(single) if cast else single}) END"
+        f"CASE WHEN {value} RLIKE '^[!-~]+$' THEN "
+        f"CASE WHEN {value} NOT IN {PLACEHOLDERS} THEN {single} END ELSE {several} END"
     )

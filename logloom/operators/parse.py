@@ -146,29 +146,29 @@ def split_uri(requests: DataFrame) -> DataFrame:
     )
 
 
-def unknown_fields(value: str) -> str:
+def add_unknown_fields(records: DataFrame) -> DataFrame:
     """Fields the decoder does not know, each with its own JSON type.
 
-    Computed from the line apart from the known fields, so a plan that never
-    reads ``extra`` never pays for it. The last of repeated keys counts.
+    Read from the line apart from the known fields, so a plan that never reads
+    ``extra`` never pays for it. The last of repeated keys counts.
     """
     known = ", ".join(f"'{f}'" for f in DECODED_FIELDS + ("@timestamp",))
-    kept = (
-        f"filter(map_entries(from_json({value}, 'map<string,variant>')), _e -> "
-        f"_e.key NOT IN ({known}) "
-        f"AND coalesce(CAST(_e.value AS STRING), 'null') NOT IN {PLACEHOLDERS})"
+    unknown = (
+        "map_filter(from_json(value, 'map<string,variant>'), (_k, _v) -> "
+        f"_k NOT IN ({known}) AND coalesce(CAST(_v AS STRING), 'null') NOT IN {PLACEHOLDERS})"
     )
-    last_only = let(
-        "_keys",
-        "transform(_kept, _k -> _k.key)",
-        "CASE WHEN size(array_distinct(_keys)) = size(_keys) THEN _kept ELSE "
-        "filter(_kept, (_e, _i) -> "
-        "NOT array_contains(slice(_keys, _i + 2, size(_keys)), _e.key)) END",
+    last_only = (
+        "map_from_entries(filter(map_entries(_unknown), (_e, _i) -> NOT array_contains("
+        "slice(map_keys(_unknown), _i + 2, size(_unknown)), _e.key)))"
     )
-    return let(
-        "_last",
-        let("_kept", kept, last_only),
-        "CASE WHEN size(_last) > 0 THEN map_from_entries(_last) END",
+    return _replace(
+        _replace(records, {"_unknown": unknown}),
+        {
+            "extra": "CASE WHEN size(_unknown) = 0 THEN NULL "
+            "WHEN size(array_distinct(map_keys(_unknown))) = size(_unknown) THEN _unknown "
+            f"ELSE {last_only} END"
+        },
+        drop=["_unknown"],
     )
 
 
@@ -212,7 +212,6 @@ def parse_access_log(
     derived = {
         "@timestamp": "_instant",
         "ts_local": "_wall",
-        "extra": unknown_fields("value"),
     }
     derived |= {f: split_values(f) for f in TEXT_LIST_FIELDS}
     derived |= {
@@ -223,7 +222,7 @@ def parse_access_log(
     if hostname is not None:
         value = hostname if isinstance(hostname, Column) else F.lit(hostname)
         columns[produced.index("@hostname")] = value.alias("@hostname")
-    result = split_uri(split_request(decoded)).select(
+    result = split_uri(split_request(add_unknown_fields(decoded))).select(
         *carried,
         *columns,
         F.expr("value AS _line"),
