@@ -336,12 +336,12 @@ def oracle_sql() -> dict[str, str]:
         "metric_lines": _metric_query(10),
         "metric_lines_month": _metric_query(month),
         # Only intervals the watermark has passed: five seconds behind the
-        # newest good record.
+        # newest record that counts.
         "stream_stats": _BASE
         + _HITS
         + _stats(3600)
         + f"""SELECT {_METRIC_LINE} FROM stats
-          WHERE bucket + 3600 <= (SELECT max(epoch) FROM ok) - 5""",
+          WHERE bucket + 3600 <= (SELECT max(epoch) FROM hits) - 5""",
         "stream_upsert": _BASE + _LATEST,
     }
     return sql

@@ -75,7 +75,7 @@ def source_json(documents: DataFrame) -> Column:
         for f in DOCUMENT_SCHEMA.fields
         if f.name in present
         and f.name
-        not in ("_id", "_index", "_seq", "@timestamp", "ts_local", "path_segments", "extra")
+        not in ("_id", "_index", "_seq", "batch", "@timestamp", "ts_local", "path_segments", "extra")
         and f.name not in ("request_path_1", "request_path_2")
     ]
     known = F.struct(

@@ -43,11 +43,11 @@ def http_stats(
     Each record is spread over the three metrics and all are summed by one
     aggregation: one pass over the input, summed before the only shuffle. On a
     stream an interval is emitted once the watermark, ``delay`` behind the
-    newest record, has passed its end; later records are dropped.
+    newest record that counts, has passed its end; later records are dropped.
     """
-    rows = traffic_rows(
-        records.withWatermark("`@timestamp`", delay) if records.isStreaming else records
-    )
+    rows = traffic_rows(records)
+    if records.isStreaming:
+        rows = rows.withWatermark("`@timestamp`", delay)
     dims = ["host", "request_path_1", "request_path_2", "status"]
     none = "CAST(NULL AS STRING)"
     spread = rows.selectExpr(

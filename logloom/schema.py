@@ -94,6 +94,7 @@ DOCUMENT_SCHEMA = T.StructType(
     + [f for f in RECORD_SCHEMA.fields if f.name != "request_id"]
     + [
         T.StructField("_seq", SEQUENCE),
+        T.StructField("batch", T.StringType()),
         T.StructField("_index", T.StringType()),
     ]
 )
@@ -129,19 +130,22 @@ def ensure_table(
     """Declare the document table if it is absent, or again if ``force``.
 
     The table is external: declaring it again replaces the schema and leaves
-    the data files alone.
+    the data files alone. A schema of one's own needs the columns ``batch`` and
+    ``_index``, the folders that ``append_documents`` writes.
     """
     if force:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     if not spark.catalog.tableExists(name):
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
-        )
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        folders = ", ".join(c for c in ("batch", "_index") if c in schema.fieldNames())
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"PARTITIONED BY (batch, _index) LOCATION '{location}'"
-            if "batch" in schema.fieldNames()
-            else f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"PARTITIONED BY (_index) LOCATION '{location}'"
+            f"PARTITIONED BY ({folders}) LOCATION '{location}'"
         )
     return spark.table(name)
+
+
+def refresh_table(spark: SparkSession, name: str) -> DataFrame:
+    """Make the folders written since the declaration known to the table."""
+    spark.catalog.recoverPartitions(name)
+    return spark.table(name)
