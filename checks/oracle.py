@@ -289,7 +289,7 @@ def oracle_sql() -> dict[str, str]:
         "status_filter": _BASE
         + """SELECT host, status, count(*) AS hits FROM ok
           WHERE host IS NOT NULL AND status IS NOT NULL AND status <> 0 GROUP BY host, status""",
-        "extension_pipeline": _BASE
+        "extension_transforms": _BASE
         + """SELECT event_id, coalesce(request_time > 0.5, FALSE) AS slow, status FROM ok WHERE status >= 500""",
         "extension_in_python": _BASE
         + "SELECT event_id, lower(coalesce(upstream_cache_status, 'none')) AS family FROM ok",

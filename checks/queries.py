@@ -262,7 +262,7 @@ def _errors_only(df):
     return df.where("status >= 500")
 
 
-def extension_pipeline(spark, sf_dir):
+def extension_transforms(spark, sf_dir):
     extended = apply_extensions(records(spark, sf_dir), [_mark_slow, _errors_only])
     return extended.select("event_id", "slow", F.col("status").cast("bigint").alias("status"))
 
@@ -300,31 +300,32 @@ def document_envelope(spark, sf_dir):
     )
 
 
-def document_lines(spark, sf_dir):
-    """JSON lines as written, read back by key."""
-    written = json_lines(documents(spark, sf_dir).drop("event_id"))
-    paths = {
-        "id": "_id",
-        "idx": "_index",
-        "ts": "_source.@timestamp",
-        "web": "_source.@hostname",
-        "uri": "_source.request_uri",
-        "path_1": "_source.request_path_1",
-        "path_4": "_source.request_path_4",
-        "a_b": "_source.query.a_b",
-        "lat": "_source.query_geo.lat",
-        "upstreams": "_source.upstream_addr",
-        "bytes": "_source.bytes_sent",
-        "rtt": "_source.tcp_rtt",
-        "tls": "_source.tls",
-        "props": "_source.props",
-    }
+_WRITTEN = """
+  `_id` string, `_index` string, `_source` struct<
+    `@timestamp`:string, `@hostname`:string, request_uri:string, request_path_1:string,
+    request_path_4:string, query:struct<a_b:string>, query_geo:struct<lat:string>,
+    upstream_addr:string, bytes_sent:string, tcp_rtt:string, tls:string, props:string>
+"""
 
-    def path(dotted):
-        return "$" + "".join(f"['{p}']" for p in dotted.split("."))
 
-    return written.select(
-        *[F.get_json_object("value", path(p)).alias(name) for name, p in paths.items()]
+def document_lines(spark, sf_dir):
+    """JSON lines as written, read back as text fields."""
+    written = json_lines(documents(spark, sf_dir).drop("event_id"))
+    return written.select(F.from_json("value", _WRITTEN).alias("d")).selectExpr(
+        "d._id AS id",
+        "d._index AS idx",
+        "d._source.`@timestamp` AS ts",
+        "d._source.`@hostname` AS web",
+        "d._source.request_uri AS uri",
+        "d._source.request_path_1 AS path_1",
+        "d._source.request_path_4 AS path_4",
+        "d._source.query.a_b AS a_b",
+        "d._source.query_geo.lat AS lat",
+        "d._source.upstream_addr AS upstreams",
+        "d._source.bytes_sent AS bytes",
+        "d._source.tcp_rtt AS rtt",
+        "d._source.tls AS tls",
+        "d._source.props AS props",
     )
 
 
@@ -460,7 +461,7 @@ def queries() -> dict[str, Query]:
         "geoip_absent": geo_lookup_absent,
         "time_range": in_time_range,
         "status_filter": status_filter,
-        "extension_pipeline": extension_pipeline,
+        "extension_transforms": extension_transforms,
         "extension_in_python": extension_in_python,
         "index_route": index_route,
         "document_envelope": document_envelope,

@@ -20,7 +20,7 @@ from logloom.operators.documents import (
     upsert_documents,
 )
 from logloom.operators.parse import accepted, parse_access_log
-from logloom.plans.pipelines import dump_log, index_log, measure_log, records_in_range
+from logloom.plans.jobs import dump_log, index_log, measure_log, records_in_range
 from logloom.schema import DOCUMENT_SCHEMA, ensure_table, load_schema, refresh_table
 from logloom.sources.access_log import read_access_log
 
