@@ -231,7 +231,12 @@ def geo_lookup(spark, sf_dir):
 def geo_lookup_shuffled(spark, sf_dir):
     """The same lookup as if the range table were too large to broadcast."""
     return _places(
-        geoip_join(records(spark, sf_dir), nation_ranges(spark, sf_dir), broadcast_bytes=-1)
+        geoip_join(
+            records(spark, sf_dir),
+            nation_ranges(spark, sf_dir),
+            broadcast_bytes=-1,
+            sequence="event_id",
+        )
     )
 
 

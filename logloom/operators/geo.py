@@ -33,6 +33,7 @@ def geoip_join(
     broadcast_bytes: int = 128 << 20,
     bucket_bits: int | None = None,
     hot_share: float = 1e-4,
+    sequence: str = "_seq",
 ) -> DataFrame:
     """Add ``geoip``, ``city`` and ``region_name`` of ``remote_addr``.
 
@@ -45,7 +46,10 @@ def geoip_join(
     which adds at most one row per bucket to the range table. The range table
     is measured first. Up to ``broadcast_bytes`` it is broadcast and the
     records are not shuffled; beyond that both sides are shuffled by bucket,
-    and buckets holding more than ``hot_share`` of the records are spread.
+    and buckets holding more than ``hot_share`` of the records are spread, by
+    the place of each line (``sequence``), so a task that runs again after a
+    loss spreads them the same way. Without such a column the order of the
+    input decides: then it should come straight from files.
     """
     if ranges is None:
         return records.withColumns(
@@ -83,7 +87,7 @@ def geoip_join(
         # A micro-batch is bounded by its trigger, and cannot be counted first.
         joined = _bucket_join(numbered, pieces, ["_bucket"])
     else:
-        joined = _salted_join(numbered, pieces, hot_share)
+        joined = _salted_join(numbered, pieces, hot_share, sequence)
     kept = [c for c in records.columns if c not in ENRICHED_FIELDS]
     return joined.select(*[F.col(f"r.`{c}`") for c in kept], *ENRICHED_FIELDS)
 
@@ -119,7 +123,9 @@ def _bucket_join(numbered: DataFrame, pieces: DataFrame, keys: list[str]) -> Dat
     return numbered.alias("r").join(pieces.alias("p"), condition, "left")
 
 
-def _salted_join(numbered: DataFrame, pieces: DataFrame, hot_share: float) -> DataFrame:
+def _salted_join(
+    numbered: DataFrame, pieces: DataFrame, hot_share: float, sequence: str
+) -> DataFrame:
     """Shuffled join by bucket in which hot buckets use several tasks.
 
     A bucket with n times ``hot_share`` of the records is split n+1 ways: its
@@ -142,9 +148,13 @@ def _salted_join(numbered: DataFrame, pieces: DataFrame, hot_share: float) -> Da
     parts = F.when(F.col("_bucket").isNull(), F.lit(int(1 / hot_share))).otherwise(
         F.coalesce("_ways", F.lit(1))
     )
+    if sequence in numbered.columns:
+        turn = F.xxhash64(sequence)
+    else:
+        turn = F.monotonically_increasing_id()
     left = (
         ways(numbered)
-        .withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+        .withColumn("_part", F.pmod(turn, parts).cast("int"))
         .drop("_hot", "_ways")
     )
     right = (

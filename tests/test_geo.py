@@ -42,7 +42,7 @@ def brute(ranges, address):
     return next((c for lo, hi, _, _, c, _ in ranges if lo <= n <= hi), None)
 
 
-@pytest.mark.parametrize("options", [{}, {"bucket_bits": 20}, {"broadcast_bytes": -1}, {"broadcast_bytes": -1, "hot_share": 0.02}])
+@pytest.mark.parametrize("options", [{}, {"bucket_bits": 20}, {"broadcast_bytes": -1}, {"broadcast_bytes": -1, "hot_share": 0.02}, {"broadcast_bytes": -1, "hot_share": 0.02, "sequence": "n"}])
 def test_matches_brute_force(spark, options):
     ranges, addresses = make(3)
     table = spark.createDataFrame(
