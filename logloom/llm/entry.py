@@ -6,17 +6,56 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logloom.llm.embeddings import near_duplicate_embeddings
 from logloom.llm.packing import pack_documents
+from logloom.llm.secrets import scan_secrets
+from logloom.llm.simhash import near_duplicates
 from logloom.llm.store import table
+from logloom.llm.substrings import remove_repeats
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings, _ = scan_secrets(table(spark, sf_dir, "documents"))
+    listed = "array_join(transform(spans, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    return findings.selectExpr(
+        "doc_id",
+        *(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex")),
+        f"sha2({listed}, 256) AS base_sha256",
+        f"{listed} AS spans",
+    )
+
+
+OPERATORS = (
+    op1_best_fit_packing,
+    op4_embedding_near_dedup,
+    op7_simhash_near_dedup,
+    op9_substring_dedup,
+    op10_secret_scans,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing,)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
