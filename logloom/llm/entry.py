@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.llm.decontamination import benchmark_matches
 from logloom.llm.embeddings import near_duplicate_embeddings
+from logloom.llm.language import fit_languages, held_out, labelled, predict_languages
 from logloom.llm.packing import pack_documents
 from logloom.llm.secrets import scan_secrets
 from logloom.llm.simhash import near_duplicates
@@ -20,6 +22,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = predict_languages(docs, fit_languages(labelled(docs)))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -47,6 +59,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_best_fit_packing,
+    op2_language_id,
+    op3_benchmark_decontamination,
     op4_embedding_near_dedup,
     op7_simhash_near_dedup,
     op9_substring_dedup,

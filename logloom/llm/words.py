@@ -45,9 +45,9 @@ class Words:
     """``start``, ``end``: byte places of each word in ``data``; words of text i
     are ``bounds[i]`` to ``bounds[i + 1]``."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, kinds: np.ndarray = SOLID):
         self.data, self.texts = text_bytes(texts)
-        solid = SOLID[self.data]
+        solid = kinds[self.data]
         edge = np.zeros(len(solid) + 1, bool)
         edge[self.texts] = True
         first, last = solid.copy(), solid.copy()
