@@ -5,16 +5,46 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from logloom.llm.decontamination import without_benchmark
+from logloom.llm.language import with_known_language
 from logloom.llm.packing import pack_documents
+from logloom.llm.secrets import redact_secrets
+from logloom.llm.simhash import without_near_duplicates
 from logloom.llm.store import stored, table
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return with_known_language(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return without_near_duplicates(docs).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced."""
+    return redact_secrets(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as packed token sequences."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("language ID", language),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", secrets),
+    ("best-fit packing", pack),
+]
 
 #: Language prediction and tokenization can't be written in SQL.
 ORACLE_SQL = None
