@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from logloom.llm.decontamination import benchmark_matches
 from logloom.llm.embeddings import near_duplicate_embeddings
+from logloom.llm.html import extract_text
 from logloom.llm.language import fit_languages, held_out, labelled, predict_languages
 from logloom.llm.packing import pack_documents
+from logloom.llm.privacy import replace_personal_data
 from logloom.llm.secrets import scan_secrets
+from logloom.llm.shards import shard_documents
 from logloom.llm.simhash import near_duplicates
 from logloom.llm.store import table
 from logloom.llm.substrings import remove_repeats
@@ -36,6 +39,18 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents"), b"registered query")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
@@ -62,7 +77,10 @@ OPERATORS = (
     op2_language_id,
     op3_benchmark_decontamination,
     op4_embedding_near_dedup,
+    op5_html_extraction,
+    op6_pii_surrogates,
     op7_simhash_near_dedup,
+    op8_sharding,
     op9_substring_dedup,
     op10_secret_scans,
 )

@@ -154,13 +154,14 @@ def brute_vectors(vectors, least):
 
 
 def test_embeddings(spark):
-    table = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    larger = SF_DIR.replace("0.001", "0.01")
+    table = spark.read.parquet(f"{larger}/embeddings.parquet")
     vectors = {r.vec_id: r.embedding for r in table.collect()}
     loose = brute_vectors(vectors, 0.5)
     assert any(n for n, _ in loose.values())
     for expected, rows in (
-        (brute_vectors(vectors, 0.95), entry.op4_embedding_near_dedup(spark, SF_DIR).collect()),
-        (loose, near_duplicate_embeddings(table, 0.5, tile=32).collect()),
+        (brute_vectors(vectors, 0.95), entry.op4_embedding_near_dedup(spark, larger).collect()),
+        (loose, near_duplicate_embeddings(table, 0.5, tile=128).collect()),
     ):
         assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == expected
         assert len(rows) == len(vectors) and all(r.kept == (r.vec_id == r.component_id) for r in rows)
