@@ -2,7 +2,7 @@
 
 A document holds a benchmark item where a window of as many words as the item
 has is at most ``1 - least`` of them edits away (words: runs of letters and
-digits, A-Z lower-cased). Windows are found in three steps.
+digits, lower-cased). Windows are found in three steps.
 
 1. Anchors. An item of n words with e edits keeps an unbroken run of at least
    ceil((n - e) / (e + 1)) of its words, so a window without such a run in common
@@ -30,13 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.store import texts
-from logloom.llm.words import LOWER, Words, mixed, slices, window_hashes
+from logloom.llm.words import Words, mixed, slices, window_hashes
 
 BITS = 2
+#: Random walks that the samples are shared among, so that they are independent.
+WALKS = 8
 DIFFER = 0.7
 RECALL = 0.99
 SHORTEST = 5
@@ -47,8 +50,7 @@ ALNUM = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and each text's bounds, letters and digits only."""
-    words = Words(column, ALNUM)
-    words.data = LOWER[words.data]
+    words = Words(pc.utf8_lower(pa.array(column).fill_null("").cast(pa.large_string())), ALNUM)
     return words.hashes(), words.bounds
 
 
@@ -65,7 +67,7 @@ def _embed(windows: np.ndarray, seed: int) -> np.ndarray:
     for step in range(3 * n):
         symbol = padded[every, at]
         out[:, step] = symbol
-        coin = mixed(symbol ^ np.uint64((step * 2 + 1) * 0x9E3779B97F4A7C15 + seed & 0xFFFF_FFFF_FFFF_FFFF)) & np.uint64(1)
+        coin = mixed(symbol ^ np.uint64((step * 2 + 1) * 0x9E3779B97F4A7C15 + seed * 0xD6E8FEB86659FD93 & 0xFFFF_FFFF_FFFF_FFFF)) & np.uint64(1)
         at = np.minimum(at + coin.astype(np.int64), n)
     return out
 
@@ -118,7 +120,7 @@ class _Items:
             found.sort()
             h, number, at = zip(*found)
             self.anchors[run] = np.array(h, np.uint64), np.array(number), np.array(at)
-        self.embedded = [_embed(w[None], 0)[0] for w in self.words]
+        self.embedded = [[_embed(w[None], walk)[0] for walk in range(WALKS)] for w in self.words]
 
     def search(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple]:
         """(text, item, edits, first word, end) of the nearest window of each item in a text."""
@@ -154,10 +156,12 @@ class _Items:
         ends = np.minimum(todo[:, 1] + n, bounds[todo[:, 0] + 1])
         place = todo[:, 1:] + np.arange(n)
         windows = np.where(place < ends[:, None], hashes[np.minimum(place, len(hashes) - 1)], np.uint64(0))
-        same = _embed(windows, 0) == self.embedded[item]
         agree = np.zeros(len(todo), bool)
-        for repeat in range(self.repeats):
-            agree |= same[:, _places(n, repeat)].all(1)
+        for walk in range(WALKS):
+            rest = np.flatnonzero(~agree)
+            same = _embed(windows[rest], walk) == self.embedded[item][walk]
+            for repeat in range(walk, self.repeats, WALKS):
+                agree[rest] |= same[:, _places(n, repeat)].all(1)
         target = words.tolist()
         for row in np.flatnonzero(agree):
             text, start, end = int(todo[row, 0]), int(todo[row, 1]), int(ends[row])
