@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the date format of the common log format.
@@ -41,11 +41,18 @@ def parse_timestamp(raw: str, formats: Sequence[str] = ()) -> tuple[str, str]:
 
 
 def as_instant(value) -> Column:
-    """A bound given as text, ``datetime`` or column, as a timestamp column."""
+    """A bound given as text, ``datetime`` or column, as a timestamp column.
+
+    A text that is no time is an error: as a NULL it would reject every record.
+    """
     if isinstance(value, Column):
         return value
     text = value if isinstance(value, str) else value.isoformat()
-    return F.lit(text).cast("timestamp")
+    bound = F.lit(text).cast("timestamp")
+    readable = SparkSession.active().sql("SELECT try_cast(:text AS timestamp) IS NOT NULL", args={"text": text})
+    if not readable.first()[0]:
+        raise ValueError(f"not a time: {text!r}")
+    return bound
 
 
 def bucket_start(ts: str, interval: int) -> str:

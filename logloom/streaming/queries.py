@@ -34,6 +34,12 @@ def _start(
     return writer.trigger(processingTime=trigger).start()
 
 
+def _batch_name(batch: DataFrame, number: int) -> str:
+    """A name that no other query uses; a replay of the micro-batch has it again."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{number}"
+
+
 def stream_stats(
     records: DataFrame,
     path: str,
@@ -53,7 +59,7 @@ def stream_stats(
     lines = metric_lines(http_stats(records, interval, delay), prefix)
     return _start(
         lines,
-        lambda batch, number: write_metrics(batch, path, str(number)),
+        lambda batch, number: write_metrics(batch, path, _batch_name(batch, number)),
         checkpoint,
         trigger,
     )
@@ -82,24 +88,28 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Parse a stream of lines and append its documents to the table at ``path``.
 
-    A replayed micro-batch replaces its own folder, and readers settle repeated
+    A replayed micro-batch replaces its own folder, named by query and number, and readers settle repeated
     deliveries, so restarts and duplicates leave one document per key.
     """
     extensions = list(extensions)
 
     def handle(batch: DataFrame, number: int) -> None:
+        name = _batch_name(batch, number)
         numbered = number_lines(batch) if "line" in _sequence_fields(batch) else batch
         records = parse_access_log(numbered, **parse_options)
         if rejects is not None:
             # Both outputs read the micro-batch, which the trigger bounds.
             records = records.persist()
-        kept = apply_extensions(accepted(records), extensions)
-        kept = time_range(kept, min_timestamp, max_timestamp)
-        append_documents(to_documents(kept, pattern), path, str(number))
-        if rejects is not None:
-            letters = rejected(records, required=("request_id",))
-            write_rejected(letters.select("value", "errors"), rejects, str(number))
-            records.unpersist()
+        try:
+            kept = apply_extensions(accepted(records), extensions)
+            kept = time_range(kept, min_timestamp, max_timestamp)
+            append_documents(to_documents(kept, pattern), path, name)
+            if rejects is not None:
+                letters = rejected(records, required=("request_id",))
+                write_rejected(letters.select("value", "errors"), rejects, name)
+        finally:
+            if rejects is not None:
+                records.unpersist()
 
     return _start(lines, handle, checkpoint, trigger)
 

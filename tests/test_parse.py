@@ -216,3 +216,17 @@ def test_text_source(spark, tmp_path):
     assert letter.value == '{"bad �"'
     ordered = source.where("value like '%r_\"%'").orderBy("_seq").collect()
     assert [json.loads(r.value)["request_id"] for r in ordered] == [f"r{n}" for n in range(5)]
+
+
+def test_white_space_around_a_line(spark, lines):
+    good = json.dumps(record())
+    texts = [good + end for end in ("", " ", "\t", "\r", "\n", "\r\n ")] + ["\t" + good]
+    records = parse_access_log(lines(*texts))
+    assert accepted(records).count() == len(texts)
+    assert accepted(parse_access_log(lines(good + "\t]", good + "\x0b,"))).count() == 0
+
+
+def test_unreadable_bound(spark, lines, each_mode):
+    records = accepted(parse_access_log(lines(record())))
+    with pytest.raises(ValueError, match="junk"):
+        time_range(records, "junk")

@@ -11,6 +11,7 @@ from conftest import record
 from logloom.operators.documents import read_documents, read_versions
 from logloom.operators.parse import accepted, parse_access_log
 from logloom.operators.stats import http_stats, metric_lines
+from logloom.plans.jobs import index_log
 from logloom.sources.access_log import read_access_log, stream_access_log
 from logloom.streaming.queries import late_rows, stream_stats, stream_upsert
 
@@ -133,3 +134,26 @@ def test_late_records_are_dropped_and_counted(spark, folder, tmp_path):
         if ".count." in r.value
     }
     assert counts == {"1704067200": "3", "1704067210": "1"}
+
+
+def test_two_writers_of_one_table(spark, folder, tmp_path):
+    table, bad = str(tmp_path / "docs"), str(tmp_path / "bad")
+    folder("a", at(0), "{bad")
+    index_log(spark, read_access_log(spark, folder.path), table, batch="0", rejects=bad, hostname="w")
+    folder("b", at(1), "{worse")
+    for check in ("one", "two"):
+        source = stream_access_log(spark, folder.path)
+        run(stream_upsert(source, table, str(tmp_path / check), rejects=bad, trigger=None, hostname="w"))
+        folder(f"c-{check}", at(2 if check == "one" else 3))
+    got = {r._id for r in read_documents(spark, table).select("_id").collect()}
+    assert got == {"r0", "r1", "r2"}
+    assert spark.read.json(bad).select("value").distinct().count() == 2
+
+
+def test_two_metric_streams(spark, folder, tmp_path):
+    folder("a", at(0), at(100))
+    for name in ("one", "two"):
+        records = accepted(parse_access_log(stream_access_log(spark, folder.path)))
+        run(stream_stats(records, str(tmp_path / "metrics"), str(tmp_path / name), name, trigger=None))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "metrics")).collect()]
+    assert {line.split(".")[0] for line in lines} == {"one", "two"}
