@@ -41,6 +41,8 @@ BITS = 2
 #: Random walks that the samples are shared among, so that they are independent.
 WALKS = 8
 DIFFER = 0.7
+#: Multiplier whose highest product bit is the walk's coin; words are mixed hashes already.
+COIN = np.uint64(0xD1342543DE82EF95)
 RECALL = 0.99
 SHORTEST = 5
 MOST_WORDS = 4_000_000
@@ -67,7 +69,8 @@ def _embed(windows: np.ndarray, seed: int) -> np.ndarray:
     for step in range(3 * n):
         symbol = padded[every, at]
         out[:, step] = symbol
-        coin = mixed(symbol ^ np.uint64((step * 2 + 1) * 0x9E3779B97F4A7C15 + seed * 0xD6E8FEB86659FD93 & 0xFFFF_FFFF_FFFF_FFFF)) & np.uint64(1)
+        salt = np.uint64((step * 2 + 1) * 0x9E3779B97F4A7C15 + seed * 0xD6E8FEB86659FD93 & 0xFFFF_FFFF_FFFF_FFFF)
+        coin = (symbol ^ salt) * COIN >> np.uint64(63)
         at = np.minimum(at + coin.astype(np.int64), n)
     return out
 
@@ -120,7 +123,14 @@ class _Items:
             found.sort()
             h, number, at = zip(*found)
             self.anchors[run] = np.array(h, np.uint64), np.array(number), np.array(at)
-        self.embedded = [[_embed(w[None], walk)[0] for walk in range(WALKS)] for w in self.words]
+        sizes, self.embedded = defaultdict(list), [[] for _ in self.words]
+        for number, w in enumerate(self.words):
+            sizes[len(w)].append(number)
+        for numbers in sizes.values():  # items of one size walk together
+            together = np.stack([self.words[n] for n in numbers])
+            for walk in range(WALKS):
+                for n, row in zip(numbers, _embed(together, walk)):
+                    self.embedded[n].append(row.copy())
 
     def search(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple]:
         """(text, item, edits, first word, end) of the nearest window of each item in a text."""
