@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logloom.llm.decontamination import benchmark_matches
 from logloom.llm.embeddings import near_duplicate_embeddings
 from logloom.llm.html import extract_text
+from logloom.llm.idfile import read_token_ids, token_checksums, write_token_ids
 from logloom.llm.language import fit_languages, held_out, labelled, predict_languages
 from logloom.llm.packing import pack_documents
 from logloom.llm.privacy import replace_personal_data
@@ -19,6 +20,7 @@ from logloom.llm.shards import shard_documents
 from logloom.llm.simhash import near_duplicates
 from logloom.llm.store import table
 from logloom.llm.substrings import remove_repeats
+from logloom.shared import shared_folder
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,12 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-ids")
+    write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_checksums(read_token_ids(spark, path))
+
+
 OPERATORS = (
     op1_best_fit_packing,
     op2_language_id,
@@ -83,6 +91,7 @@ OPERATORS = (
     op8_sharding,
     op9_substring_dedup,
     op10_secret_scans,
+    op12_token_id_output,
 )
 
 

@@ -12,7 +12,6 @@ repeated rows are packed like any others. An empty table gives an empty result.
 from __future__ import annotations
 
 import functools
-import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -23,62 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.store import stored, texts
+from logloom.llm.tokens import token_ids
 
 #: Groups among which the pieces of one length are numbered, so that a length
 #: that very many pieces share is numbered by many tasks.
 SALTS = 64
-#: Words remembered by a Python worker.
-CACHE_WORDS = 400_000
-#: Characters of a text that are split into words at once.
-SLAB = 1 << 20
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt int"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, {}
-
-
-def _slabs(text: bytes) -> Iterator[bytes]:
-    """The text in slices that end at white space."""
-    start = 0
-    while len(text) - start > SLAB:
-        cut = text.find(b" ", start + SLAB)
-        if cut < 0:
-            break
-        yield text[start:cut]
-        start = cut
-    yield text[start:]
-
-
-def token_ids(text: str | None, path: str) -> bytes:
-    """Ids as little-endian unsigned 32-bit numbers.
-
-    For tokenizers that never join what white space separates: ids of a word
-    don't depend on its neighbours, so each different word is encoded once.
-    """
-    tokenizer, known = _tokenizer(path)
-    out = []
-    for slab in _slabs((text or "").encode()):
-        words = slab.split()
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            encoded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        out.append(b"".join(map(known.__getitem__, words)))
-    return b"".join(out)
-
-
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, max_tokens: int, end_id: int):
     end, width, number = np.array([end_id], "<u4").tobytes(), 4 * max_tokens, 0
     for batch in batches:

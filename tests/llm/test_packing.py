@@ -8,14 +8,14 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from logloom.llm.entry import op1_best_fit_packing
-from logloom.llm.packing import pack_documents, packing_plan, token_ids
+from logloom.llm.packing import pack_documents, packing_plan
+from logloom.llm.tokens import token_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 def whole_ids(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
