@@ -39,8 +39,10 @@ from logloom.llm.store import texts
 from logloom.llm.tokens import token_ids
 
 #: A block is closed by the document that brings it to this many ids or documents.
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 17
 BLOCK_DOCS = 1 << 16
+#: Bytes of blocks that a writing or reading task holds at once (a Parquet row group).
+GROUP_BYTES = 1 << 24
 
 BLOCKS = (
     "shard int, number int, first bigint, n_docs bigint, n_ids bigint, nulls bigint,"
@@ -99,7 +101,7 @@ def write_token_ids(
     keyed = texts(docs).withColumn("h", F.expr("xxhash64(text)"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     make = functools.partial(_blocks, path=tokenizer, end_id=end_id, block_ids=block_ids)
-    ordered.select("doc_id", "text").mapInArrow(make, BLOCKS).write.parquet(f"{path}/blocks")
+    ordered.select("doc_id", "text").mapInArrow(make, BLOCKS).write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
     totals = _read(spark, path, "blocks", BLOCKS).groupBy("shard").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids")
     )
@@ -114,23 +116,24 @@ def _read(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
 
 def _documents(batches: Iterator[pa.RecordBatch], low: int | None, high: int | None):
     for batch in batches:
-        for start, first, nulls, ids, ends, keys in zip(
-            *(batch[c].to_pylist() for c in ("start", "first", "nulls", "ids", "ends", "doc_ids"))
-        ):
-            ends, keys = EliasFano.from_bytes(ends), EliasFano.from_bytes(keys)
-            begin = 0 if low is None else nulls + keys.find(low - 1)
-            stop = len(ends) if high is None else nulls + keys.find(high)
-            if begin >= stop:
-                continue
-            if stop - begin == len(ends):
-                bounds, named = [0, *ends.all().tolist()], [None] * nulls + keys.all().tolist()
-            else:
-                bounds = [ends.select(i) if i >= 0 else 0 for i in range(begin - 1, stop)]
-                named = [keys.select(i - nulls) if i >= nulls else None for i in range(begin, stop)]
-            base = start + first
-            yield _batch(
-                [(k, base + a, b - a, ids[4 * a : 4 * b]) for k, a, b in zip(named, bounds, bounds[1:])], DOCUMENTS
-            )
+        for row in range(batch.num_rows):
+            yield _of_block({c: batch[c][row].as_py() for c in batch.schema.names}, low, high)
+
+
+def _of_block(block: dict, low: int | None, high: int | None) -> pa.RecordBatch:
+    nulls, ids = block["nulls"], block["ids"]
+    ends, keys = EliasFano.from_bytes(block["ends"]), EliasFano.from_bytes(block["doc_ids"])
+    begin = 0 if low is None else nulls + keys.find(low - 1)
+    stop = len(ends) if high is None else nulls + keys.find(high)
+    if begin >= stop:
+        return _batch([], DOCUMENTS)
+    if stop - begin == len(ends):
+        bounds, named = [0, *ends.all().tolist()], [None] * nulls + keys.all().tolist()
+    else:
+        bounds = [ends.select(i) if i >= 0 else 0 for i in range(begin - 1, stop)]
+        named = [keys.select(i - nulls) if i >= nulls else None for i in range(begin, stop)]
+    base = block["start"] + block["first"]
+    return _batch([(k, base + a, b - a, ids[4 * a : 4 * b]) for k, a, b in zip(named, bounds, bounds[1:])], DOCUMENTS)
 
 
 def read_token_ids(spark: SparkSession, path: str, low: int | None = None, high: int | None = None) -> DataFrame:

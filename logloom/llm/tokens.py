@@ -9,8 +9,8 @@ import re
 import struct
 from collections.abc import Iterator
 
-#: Words of at most ``LONGEST`` bytes, and parts of words, that a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words of at most ``LONGEST`` bytes, and as many parts of words, that a Python worker remembers.
+CACHE_WORDS = 300_000
 LONGEST = 64
 #: Bytes of a text that are split into words at once.
 SLAB = 1 << 20
@@ -31,16 +31,23 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Remembered(dict):
-    """Ids by word; what is missing is made, and all is forgotten when it is full."""
+    """Ids by word, made where they are missing.
+
+    When half of the room is used the words become the older half; of these, only words met
+    again stay.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, word):
-        ids = self.make(word)
+        ids = self.older.pop(word, None)
+        if ids is None:
+            ids = self.make(word)
         if len(word) <= LONGEST:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= CACHE_WORDS // 2:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
