@@ -15,11 +15,13 @@ from logloom.llm.idfile import read_token_ids, token_checksums, write_token_ids
 from logloom.llm.language import fit_languages, held_out, labelled, predict_languages
 from logloom.llm.packing import pack_documents
 from logloom.llm.privacy import replace_personal_data
+from logloom.llm.repair import repair_damaged
 from logloom.llm.secrets import scan_secrets
 from logloom.llm.shards import shard_documents
 from logloom.llm.simhash import near_duplicates
 from logloom.llm.store import table
 from logloom.llm.substrings import remove_repeats
+from logloom.llm.variants import group_variants
 from logloom.shared import shared_folder
 
 
@@ -74,12 +76,20 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-ids")
     write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return token_checksums(read_token_ids(spark, path))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents"), damage=97)
+
+
 OPERATORS = (
     op1_best_fit_packing,
     op2_language_id,
@@ -91,7 +101,9 @@ OPERATORS = (
     op8_sharding,
     op9_substring_dedup,
     op10_secret_scans,
+    op11_conversation_repair,
     op12_token_id_output,
+    op13_spelling_variants,
 )
 
 
