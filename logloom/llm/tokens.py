@@ -6,11 +6,12 @@ import functools
 import json
 import os
 import re
-import struct
+import sys
+from array import array
 from collections.abc import Iterator
 
-#: Words of at most ``LONGEST`` bytes, and as many parts of words, that a Python worker remembers.
-CACHE_WORDS = 300_000
+#: Words and parts of words of at most ``LONGEST`` bytes that a Python worker remembers.
+CACHE_WORDS = 400_000
 LONGEST = 64
 #: Bytes of a text that are split into words at once.
 SLAB = 1 << 20
@@ -54,7 +55,10 @@ class _Remembered(dict):
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -85,23 +89,27 @@ def _encoder(path: str):
         return lambda text: plain(text.decode())
     model, letters = tokenizer.model, _byte_letters()
 
-    def of_part(part: str) -> bytes:
-        if not part.isascii():
-            part = part.encode().decode("latin-1").translate(letters)
-        return _packed([t.id for t in model.tokenize(part)])
-
-    parts = _Remembered(of_part)
-
     def of_word(word: bytes) -> bytes:
         text = word.decode()
-        if word.isalpha():  # letters of ASCII alone
-            return parts[text.lower()]
-        if "<|" in text or not _PLAIN.fullmatch(text):
-            return plain(text)
-        return b"".join(map(parts.__getitem__, _PARTS.findall(text.lower())))
+        if not (word.isalpha() and word.islower()):
+            if "<|" in text or not _PLAIN.fullmatch(text):
+                return plain(text)
+            parts = _PARTS.findall(text.lower())
+            if len(parts) > 1:
+                return b"".join([words[part.encode()] for part in parts])
+            (text,) = parts
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(letters)
+        return _packed([t.id for t in model.tokenize(text)])
 
     words = _Remembered(of_word)
-    return lambda text: b"".join(b"".join(map(words.__getitem__, slab.split())) for slab in _slabs(text))
+
+    def of_slab(slab: bytes) -> bytes:
+        if b"<|" not in slab:  # added tokens are told by their case; all else is lower-cased anyhow
+            slab = slab.lower()
+        return b"".join(map(words.__getitem__, slab.split()))
+
+    return lambda text: b"".join(map(of_slab, _slabs(text)))
 
 
 def _slabs(text: bytes) -> Iterator[bytes]:
