@@ -3,22 +3,33 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom.functions.time import iso_text, strftime
-from logloom.schema import DOCUMENT_SCHEMA, ENRICHED_FIELDS
+from logloom.schema import DOCUMENT_SCHEMA, ENRICHED_FIELDS, keep_schema, kept_schema
+from logloom.shared import delete_folder, list_folders
 
 # Fixed value: the default date pattern that routes a document.
 DEFAULT_PATTERN = "nginx-%Y.%m.%d"
 DEFAULT_TYPE = "access_log"
 
+#: Columns that steer a document and are no part of its body as such.
+CONTROL = ("_id", "_index", "_seq", "batch")
+# Fixed value: the folder name of a partition value that is NULL.
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+#: Most dates that a read names one by one; longer ranges are cut by a filter.
+MOST_NAMES = 1000
+
 
 def route_index(records: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
     """Add ``_index``, the record's own local date in ``pattern``."""
@@ -67,17 +78,15 @@ def source_json(documents: DataFrame) -> Column:
     """The document body as one flat JSON object.
 
     Path components become ``request_path_<n>`` and unknown fields keep their
-    JSON type. Absent fields are left out.
+    JSON type, unless an extension has set a column of that name. Absent fields
+    are left out.
     """
     present = set(documents.columns)
-    named = [
-        f.name
-        for f in DOCUMENT_SCHEMA.fields
-        if f.name in present
-        and f.name
-        not in ("_id", "_index", "_seq", "batch", "@timestamp", "ts_local", "path_segments", "extra")
-        and f.name not in ("request_path_1", "request_path_2")
-    ]
+    apart = {*CONTROL, "@timestamp", "ts_local", "path_segments", "extra", "request_path_1", "request_path_2"}
+    ours = [f.name for f in DOCUMENT_SCHEMA.fields if f.name in present and f.name not in apart]
+    # What extensions have added comes after the fields of every document.
+    added = [c for c in documents.columns if c not in apart and c not in DOCUMENT_SCHEMA.fieldNames()]
+    named = ours + added
     known = F.struct(
         F.expr(iso_text("ts_local", "`@timestamp`")).alias("@timestamp"),
         *[F.col(f"`{c}`") for c in named],
@@ -106,8 +115,8 @@ def source_json(documents: DataFrame) -> Column:
     paths = F.map_concat(first, rest)
     overridden = F.array(
         *[
-            F.when(F.col(c).isNotNull(), F.lit(c))
-            for c in ("query", "query_geo", *ENRICHED_FIELDS)
+            F.when(F.col(f"`{c}`").isNotNull(), F.lit(c))
+            for c in ("query", "query_geo", *ENRICHED_FIELDS, *added)
             if c in present
         ]
     )
@@ -129,8 +138,7 @@ def _members(json: Column) -> Column:
 
 def to_envelope(documents: DataFrame, doc_type: str = DEFAULT_TYPE) -> DataFrame:
     """``_id``, ``_index``, ``_type`` and the body as the struct ``_source``."""
-    meta = ("_id", "_index", "_seq")
-    body = [F.col(f"`{c}`") for c in documents.columns if c not in meta]
+    body = [F.col(f"`{c}`") for c in documents.columns if c not in CONTROL]
     return documents.select(
         "_id", "_index", F.lit(doc_type).alias("_type"), F.struct(*body).alias("_source")
     )
@@ -152,28 +160,57 @@ def json_lines(documents: DataFrame, doc_type: str = DEFAULT_TYPE) -> DataFrame:
 def latest_documents(documents: DataFrame, sequence: str = "_seq") -> DataFrame:
     """One document per ``_index`` and ``_id``: the one that came last.
 
-    A document is written once per delivery; this is what readers see. Copies
-    are reduced inside each task before the shuffle, so a key that holds a
-    large share of all rows sends one row per task.
+    A document is written once per delivery; this is what readers see. Each
+    task keeps the last of its copies before the shuffle, so a key that holds a
+    large share of all rows sends one row per task, and columns that the query
+    doesn't use are not read.
     """
-    others = [c for c in documents.columns if c not in ("_index", "_id")]
-    row = F.struct(*[F.col(f"`{c}`") for c in others])
-    last = documents.groupBy("_index", "_id").agg(
-        F.max_by(row, F.col(sequence)).alias("_last")
-    )
-    return last.select("_index", "_id", "_last.*").select(
-        *[F.col(f"`{c}`") for c in documents.columns]
-    )
+    newest = Window.partitionBy("_index", "_id").orderBy(F.col(sequence).desc_nulls_last())
+    return documents.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def append_documents(documents: DataFrame, path: str, batch: str) -> None:
-    """Write a batch of documents, partitioned by ``_index``.
+def append_documents(documents: DataFrame, path: str, batch: str, stale: bool = True) -> None:
+    """Write a batch of documents, by ``_index`` and within it by ``batch``.
 
-    The batch has a folder of its own that is replaced as a whole, so a replay
-    after a failure leaves no copies. Nothing is shuffled: copies between and
-    within batches are settled by ``read_documents``.
+    A replay after a failure replaces what the batch wrote before, and with
+    ``stale`` it is also removed from dates that it no longer has (a stream's replays
+    have the same rows, so streams save that look). Rows are first brought
+    together by date, so that a task doesn't write a file for every date; a date
+    that is too large for one task is split. Copies between and within batches
+    are settled by ``read_documents``. The columns are noted with the table.
     """
-    documents.write.mode("overwrite").partitionBy("_index").parquet(f"{path}/batch={batch}")
+    spark = documents.sparkSession
+    keep_schema(spark, path, table_schema(documents))
+    before = _folders(spark, path, None, batch) if stale else []
+    (
+        documents.drop("batch").withColumn("batch", F.lit(batch)).hint("rebalance", "_index")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_index", "batch").parquet(path)
+    )
+    if before:
+        # Only a batch that runs again looks for the dates it has now.
+        dates = documents.select(F.expr(f"coalesce(_index, '{_NO_DATE}') AS date")).distinct().collect()
+        kept = {f"_index={r.date}" for r in dates}
+        for folder in before:
+            if unquote(folder.split("/")[-2]) not in kept:
+                delete_folder(spark, folder)
+
+
+def _folders(spark: SparkSession, path: str, dates: Iterable[str] | None, batch: str | None = None) -> list[str]:
+    """Folders of a table's dates (None: all), or of one batch in them."""
+    names = "*" if dates is None else ",".join(_folder_name(spark, d) for d in sorted(set(dates)))
+    if not names:
+        return []
+    pattern = f"{path.rstrip('/')}/_index={{{names}}}" if "," in names else f"{path.rstrip('/')}/_index={names}"
+    if batch is not None:
+        pattern += f"/batch={batch if batch == '*' else _folder_name(spark, batch)}"
+    return list_folders(spark, pattern)
+
+
+def _folder_name(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder name, for use in a glob pattern."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    return re.sub(r"([*?\[\]{}\\,])", r"\\\1", escaped)
 
 
 def table_schema(documents: DataFrame | T.StructType = DOCUMENT_SCHEMA) -> T.StructType:
@@ -181,26 +218,50 @@ def table_schema(documents: DataFrame | T.StructType = DOCUMENT_SCHEMA) -> T.Str
     schema = documents if isinstance(documents, T.StructType) else documents.schema
     body = [f for f in schema.fields if f.name not in ("_index", "batch")]
     return T.StructType(
-        body + [T.StructField("batch", T.StringType()), T.StructField("_index", T.StringType())]
+        body + [T.StructField("_index", T.StringType()), T.StructField("batch", T.StringType())]
     )
 
 
+def _index_names(pattern: str, low: str | None, high: str | None) -> list[str] | None:
+    """Every ``_index`` of the days between two bounds; None if they can't be listed or are too many."""
+    daily = set(re.findall(r"%(.)", pattern)) <= set("Yymdj%")
+    if low is None or high is None or not daily:
+        return None
+    first, last = (dt.datetime.strptime(bound, pattern) for bound in (low, high))
+    if (last - first).days >= MOST_NAMES:
+        return None
+    days = range((last - first).days + 1)
+    return sorted({(first + dt.timedelta(days=n)).strftime(pattern) for n in days})
+
+
 def read_versions(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = DOCUMENT_SCHEMA,
+    schema: T.StructType | None = None,
     pattern: str = DEFAULT_PATTERN,
     min_timestamp=None,
     max_timestamp=None,
+    index: str | Iterable[str] | None = None,
 ) -> DataFrame:
-    """Every version written to ``path``, in the partitions of a time range."""
-    try:
-        versions = spark.read.schema(table_schema(schema)).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        versions = spark.createDataFrame([], table_schema(schema))
+    """Every version written to ``path``, in the partitions of a time range.
+
+    ``index`` names the dates instead. Of a table read by both bounds, or by
+    names, only the folders of those dates are listed. The columns are those
+    noted with the table, or those of ``schema``.
+    """
+    schema = table_schema(schema or kept_schema(spark, path) or DOCUMENT_SCHEMA)
     low, high = index_range(pattern, min_timestamp, max_timestamp)
+    names = [index] if isinstance(index, str) else index
+    if names is None:
+        names = _index_names(pattern, low, high)
+    places = [path] if names is None else _folders(spark, path, names)
+    versions = spark.createDataFrame([], schema)
+    if places:
+        try:
+            versions = spark.read.schema(schema).option("basePath", path).parquet(*places)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     tests = [F.col("_index") >= low] if low else []
     tests += [F.col("_index") <= high] if high else []
     return versions.where(reduce(and_, tests)) if tests else versions
@@ -209,13 +270,14 @@ def read_versions(
 def read_documents(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = DOCUMENT_SCHEMA,
+    schema: T.StructType | None = None,
     pattern: str = DEFAULT_PATTERN,
     min_timestamp=None,
     max_timestamp=None,
+    index: str | Iterable[str] | None = None,
 ) -> DataFrame:
     """The current documents of a table."""
-    versions = read_versions(spark, path, schema, pattern, min_timestamp, max_timestamp)
+    versions = read_versions(spark, path, schema, pattern, min_timestamp, max_timestamp, index)
     return latest_documents(versions).drop("batch")
 
 
@@ -224,14 +286,51 @@ def upsert_documents(
 ) -> DataFrame:
     """Add a batch to a table and return the table's current documents."""
     append_documents(incoming, path, batch)
-    return read_documents(spark, path, incoming.schema)
+    return read_documents(spark, path)
 
 
 def compact_documents(
-    spark: SparkSession, path: str, target: str, schema: T.StructType = DOCUMENT_SCHEMA
+    spark: SparkSession, path: str, target: str, schema: T.StructType | None = None
 ) -> None:
     """Write the current documents of ``path`` as one batch of a new table.
 
-    The old table stays as it is, so a failure midway loses nothing.
+    The old table stays as it is, so a failure midway loses nothing. A
+    ``schema`` that lacks a column of the table is refused.
     """
+    kept = kept_schema(spark, path)
+    lost = {f.name for f in kept or ()} - {f.name for f in schema or kept or ()} - {"_index", "batch"}
+    if lost:
+        raise ValueError(f"compaction would drop {', '.join(sorted(lost))}")
     append_documents(read_documents(spark, path, schema), target, "compacted")
+
+
+def dates_to_compact(spark: SparkSession, path: str, least: int = 2) -> list[str]:
+    """Dates (``_index``) that at least ``least`` batches have written to."""
+    found: dict[str, int] = {}
+    for folder in _folders(spark, path, None, "*"):
+        date = unquote(folder.split("/")[-2].removeprefix("_index="))
+        found[date] = found.get(date, 0) + 1
+    return sorted(date for date, n in found.items() if n >= least)
+
+
+def compact_dates(spark: SparkSession, path: str, dates: Iterable[str], keep_sources: bool = False) -> list[str]:
+    """Settle dates of a table in place, beside writers that go on.
+
+    The batches that the dates have at the start are read, their current documents
+    are written as one new batch per date, and then the old folders are deleted. At every moment
+    the table holds each current document at least once, and readers settle
+    repeats, so a failure midway or a replayed batch changes nothing. A reader that
+    listed the old folders before fails when they go: with ``keep_sources`` they stay,
+    and the caller removes the returned folders later with ``delete_folder``.
+    """
+    sources = sorted(_folders(spark, path, dates, "*"))
+    if not sources:
+        return []
+    name = "compacted-" + hashlib.sha256("\n".join(sources).encode()).hexdigest()[:16]
+    schema = table_schema(kept_schema(spark, path) or DOCUMENT_SCHEMA)
+    versions = spark.read.schema(schema).option("basePath", path).parquet(*sources)
+    append_documents(latest_documents(versions), path, name, stale=False)
+    if not keep_sources:
+        for folder in sources:
+            delete_folder(spark, folder)
+    return sources

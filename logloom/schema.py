@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from logloom.shared import list_folders
+
 # The fields of a record and how each is typed.
 LONG_FIELDS = ("request_length", "connection_requests", "bytes_sent", "connection")
 DOUBLE_FIELDS = ("request_time", "gzip_ratio")
@@ -94,8 +99,8 @@ DOCUMENT_SCHEMA = T.StructType(
     + [f for f in RECORD_SCHEMA.fields if f.name != "request_id"]
     + [
         T.StructField("_seq", SEQUENCE),
-        T.StructField("batch", T.StringType()),
         T.StructField("_index", T.StringType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 
@@ -120,6 +125,50 @@ def load_schema(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
+def merged_schema(first: T.StructType, second: T.StructType) -> T.StructType:
+    """The columns of both; a column of two types is an error."""
+    types = {f.name: f.dataType for f in first.fields}
+    for field in second.fields:
+        if types.setdefault(field.name, field.dataType) != field.dataType:
+            kinds = f"{types[field.name].simpleString()} and {field.dataType.simpleString()}"
+            raise ValueError(f"column {field.name!r} can't be {kinds}")
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+def kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """All columns ever written to a document table; None for a table without notes."""
+    try:
+        notes = spark.read.schema("value string").text(f"{path.rstrip('/')}/_schema/*").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    schema = None
+    for text in sorted(row.value for row in notes):
+        found = load_schema(text)
+        schema = merged_schema(schema, found) if schema else found
+    return schema
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note the columns of a batch with its table.
+
+    Each different schema is a note of its own, so writers don't disturb each
+    other. A batch in which a column has another type than before is refused.
+    """
+    # What may be null differs from plan to plan.
+    text = re.sub(r'"(nullable|containsNull|valueContainsNull)":false', r'"\1":true', schema.json())
+    plain = T.StructType([T.StructField(f.name, f.dataType) for f in load_schema(text).fields])
+    text = plain.json()
+    note = f"{path.rstrip('/')}/_schema/{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+    if list_folders(spark, note):
+        return
+    before = kept_schema(spark, path)
+    if before:
+        merged_schema(before, plain)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("ignore").text(note)
+
+
 def ensure_table(
     spark: SparkSession,
     name: str,
@@ -130,14 +179,14 @@ def ensure_table(
     """Declare the document table if it is absent, or again if ``force``.
 
     The table is external: declaring it again replaces the schema and leaves
-    the data files alone. A schema of one's own needs the columns ``batch`` and
-    ``_index``, the folders that ``append_documents`` writes.
+    the data files alone. A schema of one's own needs the columns ``_index`` and
+    ``batch``, the folders that ``append_documents`` writes.
     """
     if force:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        folders = ", ".join(c for c in ("batch", "_index") if c in schema.fieldNames())
+        folders = ", ".join(c for c in ("_index", "batch") if c in schema.fieldNames())
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
             f"PARTITIONED BY ({folders}) LOCATION '{location}'"

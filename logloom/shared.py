@@ -1,4 +1,4 @@
-"""The shared folder for checkpoints and intermediate tables."""
+"""The shared folder for checkpoints and intermediate tables, and folders in general."""
 
 from __future__ import annotations
 
@@ -20,3 +20,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="logloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a glob pattern, on whatever storage it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [s.getPath().toString() for s in found or () if s.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

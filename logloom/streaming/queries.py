@@ -103,7 +103,7 @@ def stream_upsert(
         try:
             kept = apply_extensions(accepted(records), extensions)
             kept = time_range(kept, min_timestamp, max_timestamp)
-            append_documents(to_documents(kept, pattern), path, name)
+            append_documents(to_documents(kept, pattern), path, name, stale=False)
             if rejects is not None:
                 letters = rejected(records, required=("request_id",))
                 write_rejected(letters.select("value", "errors"), rejects, name)

@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 
 from logloom.operators.documents import (
     append_documents,
+    compact_dates,
     compact_documents,
+    dates_to_compact,
     index_range,
     json_lines,
     latest_documents,
@@ -86,10 +88,19 @@ def test_envelope(lines):
 
 def test_latest_wins_and_hot_keys_shrink_before_the_shuffle(lines, spark):
     copies = [record(host=f"h{n}") for n in range(50)] + [record(request_id="r2", host="x")]
-    found = latest_documents(documents(lines(*copies)))
+    found = latest_documents(documents(lines(*copies).repartition(3)))
     assert {(r._id, r.host) for r in found.collect()} == {("r1", "h49"), ("r2", "x")}
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert plan.index("Window ") < plan.index("Exchange hashpartitioning") < plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning"))
+
+
+def test_settled_reads_are_pruned(spark, lines, tmp_path):
+    path = str(tmp_path / "docs")
+    append_documents(documents(lines(record(), record(host="b"))), path, "1")
+    found = read_documents(spark, path).select("_id", "host")
+    assert [(r._id, r.host) for r in found.collect()] == [("r1", "b")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_seq:bigint,_id:string,host:string>" in plan
 
 
 def test_upsert_is_idempotent(spark, lines, tmp_path):
@@ -109,7 +120,7 @@ def test_upsert_is_idempotent(spark, lines, tmp_path):
     compact_documents(spark, path, str(tmp_path / "compact"), schema)
     compacted = read_versions(spark, str(tmp_path / "compact"), schema)
     assert compacted.count() == 2
-    assert read_documents(spark, str(tmp_path / "nothing"), schema).count() == 0
+    assert read_documents(spark, str(tmp_path / "nothing")).count() == 0
 
 
 def test_reads_prune_partitions(spark, lines, tmp_path):
@@ -124,8 +135,89 @@ def test_reads_prune_partitions(spark, lines, tmp_path):
     assert {r._id for r in found.collect()} == {f"r{d}" for d in range(8, 15)}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_index" in plan
+    # Only the folders of the range are listed.
+    listed = {f.split("_index=")[1].split("/")[0] for f in found.inputFiles()}
+    assert listed == {f"nginx-2024.01.{d:02}" for d in range(8, 15)}
+    one = read_documents(spark, path, index="nginx-2024.01.03")
+    assert [r._id for r in one.collect()] == ["r3"] and len(one.inputFiles()) == 1
+    assert read_documents(spark, path, index=[]).count() == read_documents(spark, path, index="nothing").count() == 0
+    assert read_documents(spark, path, min_timestamp="2024-01-20T00:00:00Z").count() == 11
     assert index_range("%d.%m.%Y", "2024-01-10", None) == (None, None)
     assert index_range("x-%Y%m%d", None, "2024-01-10T00:00:00") == (None, "x-20240112")
+    hourly = documents(lines(record(timestamp="2024-01-10T07:00:00Z"))).withColumn("_index", F.lit("x-2024.01.10.07"))
+    append_documents(hourly, str(tmp_path / "hours"), "1")
+    bounds = {"min_timestamp": "2024-01-10T00:00:00Z", "max_timestamp": "2024-01-11T00:00:00Z"}
+    assert read_documents(spark, str(tmp_path / "hours"), pattern="x-%Y.%m.%d.%H", **bounds).count() == 1
+
+
+def test_a_batch_replaces_itself_on_all_dates(spark, lines, tmp_path):
+    path = str(tmp_path / "docs")
+    days = [record(timestamp=f"2024-01-0{d}T12:00:00Z", request_id=f"r{d}") for d in range(1, 5)]
+    append_documents(documents(lines(*days)), path, "a:b{1}")
+    append_documents(documents(lines(days[0])), path, "other")
+    append_documents(documents(lines(*days[1:3])), path, "a:b{1}")
+    assert sorted((r._id, r.batch) for r in read_versions(spark, path).collect()) == [
+        ("r1", "other"), ("r2", "a:b{1}"), ("r3", "a:b{1}"),
+    ]
+    append_documents(documents(lines()), path, "a:b{1}")
+    assert [r._id for r in read_versions(spark, path).collect()] == ["r1"]
+
+
+def test_a_task_writes_no_file_for_each_date(spark, lines, tmp_path):
+    path = str(tmp_path / "docs")
+    days = [record(timestamp=f"2024-01-{d:02}T12:00:00Z", request_id=f"r{d}.{n}") for n in range(20) for d in (1, 2, 3)]
+    append_documents(documents(lines(*days).repartition(6)), path, "1")
+    assert len(spark.read.parquet(path).inputFiles()) == 3
+
+
+def test_dates_are_compacted_beside_writers(spark, lines, tmp_path):
+    path = str(tmp_path / "docs")
+
+    def add(batch, *rows):
+        append_documents(documents(lines(*rows)).withColumn("_seq", F.lit(int(batch)).cast("bigint")), path, batch)
+
+    def day(d, key, host):
+        return record(timestamp=f"2024-01-0{d}T12:00:00Z", request_id=key, host=host)
+
+    add("1", day(1, "a", "old"), day(1, "b", "x"), day(2, "a", "x"))
+    add("2", day(1, "a", "new"))
+    assert dates_to_compact(spark, path) == ["nginx-2024.01.01"]
+    before = sorted(map(str, read_documents(spark, path).collect()))
+    sources = compact_dates(spark, path, dates_to_compact(spark, path), keep_sources=True)
+    # A batch that came while the dates were settled, and a replay of one that is in them.
+    add("3", day(1, "c", "x"))
+    for source in sources:
+        assert spark.read.parquet(source).count() > 0
+    assert sorted(map(str, read_documents(spark, path).where("_id != 'c'").collect())) == before
+    compact_dates(spark, path, dates_to_compact(spark, path))
+    add("2", day(1, "a", "new"))
+    current = {(r._id, r.host) for r in read_documents(spark, path, index="nginx-2024.01.01").collect()}
+    assert current == {("a", "new"), ("b", "x"), ("c", "x")}
+    compact_dates(spark, path, dates_to_compact(spark, path))
+    assert dates_to_compact(spark, path) == [] and read_versions(spark, path).count() == 4
+    assert {(r._id, r.host) for r in read_versions(spark, path, index="nginx-2024.01.01").collect()} == current
+    assert compact_dates(spark, path, ["nothing"]) == []
+
+
+def test_columns_of_extensions_stay_with_the_table(spark, lines, tmp_path):
+    path, target = str(tmp_path / "docs"), str(tmp_path / "settled")
+    plain = documents(lines(record(request_id="p", slow="text", n=1)))
+    added = documents(lines(record(slow="text", n=1))).withColumn("slow", F.lit(True)).withColumn("at", F.struct(F.lit(1).alias("x")))
+    append_documents(plain, path, "1")
+    append_documents(added, path, "2")
+    compact_dates(spark, path, dates_to_compact(spark, path))
+    compact_documents(spark, path, target)
+    for place in (path, target):
+        found = {r._id: r for r in read_documents(spark, place).collect()}
+        assert (found["r1"].slow, found["r1"]["at"].x, found["p"].slow) == (True, 1, None)
+        body = {k: json.loads(r.value)["_source"] for r in json_lines(read_documents(spark, place)).collect() for k in [json.loads(r.value)["_id"]]}
+        # The column wins over the field of the line, as the extension has replaced it.
+        assert (body["r1"]["slow"], body["r1"]["at"], body["r1"]["n"]) == (True, {"x": 1}, 1)
+        assert body["p"]["slow"] == "text" and "at" not in body["p"]
+    with pytest.raises(ValueError, match="slow"):
+        compact_documents(spark, path, str(tmp_path / "less"), DOCUMENT_SCHEMA)
+    with pytest.raises(ValueError, match="slow"):
+        append_documents(plain.withColumn("slow", F.lit(1)), path, "3")
 
 
 def test_table_declaration(spark, tmp_path):
@@ -133,7 +225,7 @@ def test_table_declaration(spark, tmp_path):
     table = ensure_table(spark, "docs_a", place)
     assert table.schema.fieldNames() == DOCUMENT_SCHEMA.fieldNames()
     own = T.StructType(
-        [T.StructField(c, T.StringType()) for c in ("_id", "host", "batch", "_index")]
+        [T.StructField(c, T.StringType()) for c in ("_id", "host", "_index", "batch")]
     )
     own = load_schema(own.json())
     assert ensure_table(spark, "docs_a", place, own).schema.fieldNames() == DOCUMENT_SCHEMA.fieldNames()
