@@ -24,6 +24,7 @@ they occur. Other columns are ignored. An empty table gives empty tables.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import zlib
 from collections.abc import Iterator
@@ -43,6 +44,8 @@ BLOCK_IDS = 1 << 17
 BLOCK_DOCS = 1 << 16
 #: Bytes of blocks that a writing or reading task holds at once (a Parquet row group).
 GROUP_BYTES = 1 << 24
+#: Bytes of texts that a Python worker is given at once.
+BATCH_BYTES = 1 << 22
 
 BLOCKS = (
     "shard int, number int, first bigint, n_docs bigint, n_ids bigint, nulls bigint,"
@@ -89,6 +92,18 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids
         yield closed()
 
 
+@contextlib.contextmanager
+def _batch_bytes(spark: SparkSession, size: int):
+    """Smaller batches for Python while a job runs."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_token_ids(
     docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block_ids: int = BLOCK_IDS
 ) -> None:
@@ -101,7 +116,9 @@ def write_token_ids(
     keyed = texts(docs).withColumn("h", F.expr("xxhash64(text)"))
     ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
     make = functools.partial(_blocks, path=tokenizer, end_id=end_id, block_ids=block_ids)
-    ordered.select("doc_id", "text").mapInArrow(make, BLOCKS).write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
+    blocks = ordered.select("doc_id", "text").mapInArrow(make, BLOCKS)
+    with _batch_bytes(spark, BATCH_BYTES):
+        blocks.write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
     totals = _read(spark, path, "blocks", BLOCKS).groupBy("shard").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids")
     )
