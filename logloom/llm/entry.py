@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logloom.llm import oracle
 from logloom.llm.decontamination import benchmark_matches
 from logloom.llm.embeddings import near_duplicate_embeddings
 from logloom.llm.html import extract_text
@@ -112,4 +113,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
