@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from checks.lines import ORACLE_LINES
 
+# The fields that are read as text first.
 _TEXT_FIELDS = (
-    "request_id remote_addr host status request request_uri request_time gzip_ratio "
-    "request_length connection_requests bytes_sent connection forwarded_for "
-    "upstream_addr upstream_status upstream_response_time upstream_connect_time "
-    "upstream_response_length upstream_cache_status"
-).split()
+    "request_id",
+    "remote_addr",
+    "host",
+    "status",
+    "request",
+    "request_uri",
+    "request_time",
+    "gzip_ratio",
+    "request_length",
+    "connection_requests",
+    "bytes_sent",
+    "connection",
+    "forwarded_for",
+    "upstream_addr",
+    "upstream_status",
+    "upstream_response_time",
+    "upstream_connect_time",
+    "upstream_response_length",
+    "upstream_cache_status",
+)
 
 _FIELDS = ",\n  ".join(
     f"nullif(nullif(doc->>'$.{f}', '-'), '') AS {f}" for f in _TEXT_FIELDS
@@ -203,6 +219,21 @@ FROM ok o LEFT JOIN nation n
  AND CAST(split_part(o.remote_addr, '.', 3) AS INT) < 128
 """
 
+_NETS = """
+SELECT o.event_id, o.remote_addr, a + 0.5::DOUBLE AS lat, b + 0.5::DOUBLE AS lon,
+  'net.' || CAST(a AS VARCHAR) || '.' || CAST(b AS VARCHAR) AS city, CASE WHEN a IS NOT NULL THEN 'half' END AS region_name
+FROM ok o LEFT JOIN (SELECT DISTINCT user_id % 4 AS a, user_id % 256 AS b FROM events WHERE user_id % 2 = 0) n
+  ON CAST(split_part(o.remote_addr, '.', 2) AS INT) = a
+ AND CAST(split_part(o.remote_addr, '.', 3) AS INT) = b
+ AND CAST(split_part(o.remote_addr, '.', 4) AS INT) BETWEEN 64 AND 191
+"""
+
+_NAMED = """
+SELECT regexp_extract(line.value, '^(.*) (\\S+) (\\S+)$', 1) AS name,
+  regexp_extract(line.value, '^(.*) (\\S+) (\\S+)$', 2) AS value, bucket
+FROM (SELECT {line}, bucket FROM stats) AS line
+"""
+
 _LATEST = """
 SELECT 'nginx-' || strftime(wall, '%Y.%m.%d') AS _index, request_id AS _id, event_id, status
 FROM ok WHERE request_id IS NOT NULL
@@ -280,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
           strftime(ts, '%Y-%m-%d %H:%M:%S') AS wall_clock FROM events""",
         "geoip_join": _BASE + _GEO,
         "geoip_join_shuffled": _BASE + _GEO,
+        "geoip_merge": _BASE + _NETS,
         "geoip_absent": _BASE
         + """SELECT event_id, remote_addr, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon,
           CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS region_name FROM ok""",
@@ -342,6 +374,39 @@ def oracle_sql() -> dict[str, str]:
         + _stats(3600)
         + f"""SELECT {_METRIC_LINE} FROM stats
           WHERE bucket + 3600 <= (SELECT max(epoch) FROM hits) - 5""",
+        "stream_stats_flushed": _BASE + _HITS + _stats(3600) + _NAMED.format(line=_METRIC_LINE),
+        "stream_table_stats": _BASE
+        + _HITS.replace("WHERE host", "WHERE request_id IS NOT NULL AND host")
+        + _stats(3600)
+        + _NAMED.format(line=_METRIC_LINE),
+        "stream_late": _BASE
+        + _HITS
+        + """SELECT epoch - epoch % 3600 AS bucket, count(*) AS n FROM hits
+          WHERE event_id % 10 = 0 AND epoch - epoch % 3600 + 3600 <=
+            (SELECT max(epoch) FROM hits WHERE event_id % 10 <> 0) - 5 GROUP BY 1""",
         "stream_upsert": _BASE + _LATEST,
+        "compacted_dates": _BASE + _LATEST,
+        "declared_table": _BASE + _LATEST,
+        "extension_documents": _BASE
+        + f"""SELECT _id AS id, event_id,
+            CASE WHEN event_id % 2 = 0 THEN CAST(coalesce(request_time > 0.5, FALSE) AS VARCHAR) END AS slow,
+            CASE WHEN event_id % 2 = 0 THEN printf('%.3f', request_time) END AS total,
+            CASE WHEN event_id % 2 = 0 THEN CAST(status AS VARCHAR) END AS code
+          FROM ({_LATEST}) JOIN (SELECT event_id, request_time FROM ok) USING (event_id)""",
+        "text_scan": _BASE + "SELECT request_id, epoch, host, status FROM ok",
+        "invalid_bytes": """SELECT 'e' || CAST(event_id AS VARCHAR) AS request_id,
+          'h' || CASE WHEN event_id % 3 = 2 THEN 'é' ELSE chr(65533) END || CAST(user_id % 5 AS VARCHAR) AS host FROM events""",
+        "timestamp_parser": """SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch,
+            strftime(date_trunc('second', ts) + CASE WHEN event_id % 2 = 0 THEN INTERVAL 2 HOUR ELSE INTERVAL (-3) HOUR END,
+              '%Y-%m-%d %H:%M:%S') AS wall_clock
+          FROM events WHERE event_id % 7 <> 0""",
+        "stream_geoip": _BASE
+        + f"""SELECT * FROM ({_GEO}) WHERE event_id IN (SELECT event_id FROM ({_LATEST}))""",
+        "stream_files": _BASE
+        + """SELECT DISTINCT 'nginx-' || strftime(wall, '%Y.%m.%d') AS _index, request_id AS _id, 'web1' AS hostname
+          FROM ok WHERE request_id IS NOT NULL""",
+        "stream_growing": _BASE
+        + """SELECT 'nginx-' || strftime(wall, '%Y.%m.%d') AS _index, request_id AS _id, host, status
+          FROM ok WHERE request_id IS NOT NULL""",
     }
     return sql

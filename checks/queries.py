@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +14,15 @@ from logloom.functions.time import bucket_start, parse_timestamp
 from logloom.functions.traffic import cache_label, last_value, latency_bin, path_label
 from logloom.functions.uri import path_segments, query_map, uri_path, uri_query
 from logloom.operators.documents import (
+    append_documents,
+    compact_dates,
+    dates_to_compact,
     json_lines,
     latest_documents,
     read_documents,
+    read_versions,
     route_index,
+    stream_versions,
     to_documents,
     to_envelope,
 )
@@ -24,10 +31,12 @@ from logloom.operators.filters import time_range
 from logloom.operators.geo import geoip_join
 from logloom.operators.parse import accepted, parse_access_log, rejected
 from logloom.operators.stats import http_stats, metric_lines, traffic_rows
-from logloom.schema import LONG_FIELDS
+from logloom.schema import LONG_FIELDS, ensure_table, load_schema, refresh_table
 from logloom.shared import shared_folder
-from logloom.sinks import write_rejected
-from logloom.streaming.queries import stream_stats, stream_upsert
+from logloom.sinks import read_metrics
+from logloom.sources.access_log import read_access_log, stream_access_log
+from logloom.sources.growing import follow_access_log
+from logloom.streaming.queries import flush_stats, late_records, stream_stats, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -235,11 +244,29 @@ def geo_lookup_shuffled(spark, sf_dir):
             records(spark, sf_dir),
             nation_ranges(spark, sf_dir),
             broadcast_bytes=-1,
-            sequence="event_id",
         )
     )
 
 
+def _net_ranges(spark, sf_dir):
+    """The middle half of every even net that events come from, and a range over many nets."""
+    nets = table(spark, sf_dir, "events").where("user_id % 2 = 0").selectExpr("user_id % 4 AS a", "user_id % 256 AS b")
+    halves = nets.distinct().selectExpr(
+        "(10 * 256 + a) * 65536 + b * 256 + 64 AS lo", "(10 * 256 + a) * 65536 + b * 256 + 191 AS hi",
+        "a + 0.5D AS lat", "b + 0.5D AS lon", "concat_ws('.', 'net', a, b) AS city", "'half' AS region_name",
+    )
+    wide = spark.range(1).selectExpr(
+        "CAST((10 * 256 + 3) * 65536 + 65500 AS BIGINT) AS lo", "CAST(200 * 16777216L AS BIGINT) AS hi",
+        "0D AS lat", "0D AS lon", "'far' AS city", "'wide' AS region_name",
+    )
+    return halves.unionByName(wide)
+
+
+def geo_merge(spark, sf_dir):
+    """The lookup that sorts addresses and ranges together, on many small ranges."""
+    return _places(geoip_join(records(spark, sf_dir), _net_ranges(spark, sf_dir), broadcast_bytes=-1))
+
+
 def geo_lookup_absent(spark, sf_dir):
     return _places(geoip_join(records(spark, sf_dir), None))
 
@@ -340,6 +367,101 @@ def upsert_latest(spark, sf_dir):
     )
 
 
+def _key_columns(found):
+    return found.select("_index", "_id", "event_id", F.col("status").cast("bigint").alias("status"))
+
+
+def compacted_dates(spark, sf_dir):
+    """All versions of a table of three batches after every date is compacted in place."""
+    path, versions = f"{shared_folder(spark, 'documents')}/table", documents(spark, sf_dir)
+    for part in range(3):
+        append_documents(versions.where(F.col("event_id") % 3 == part), path, f"part-{part}")
+    compact_dates(spark, path, dates_to_compact(spark, path))
+    return _key_columns(read_versions(spark, path))
+
+
+def declared_table(spark, sf_dir):
+    """The documents by way of a table declared with a schema of one's own."""
+    path, name = f"{shared_folder(spark, 'documents')}/table", f"documents_{uuid.uuid4().hex}"
+    written = documents(spark, sf_dir)
+    append_documents(written, path, "all")
+    schema = load_schema(read_versions(spark, path).schema.json())
+    ensure_table(spark, name, path, schema, force=True)
+    return _key_columns(latest_documents(refresh_table(spark, name)))
+
+
+def extension_documents(spark, sf_dir):
+    """What extensions add, through table, settled read and JSON lines; half of the documents have none."""
+    path, kept = f"{shared_folder(spark, 'documents')}/table", records(spark, sf_dir)
+
+    def timing(df):
+        return df.withColumn("timing", F.struct(F.col("request_time").alias("total"), F.col("status").alias("code")))
+
+    for part, extensions in ((0, [_mark_slow, timing]), (1, [])):
+        extended = apply_extensions(kept.where(F.col("event_id") % 2 == part), extensions)
+        append_documents(to_documents(extended).withColumn("_seq", F.col("event_id")), path, f"part-{part}")
+    compact_dates(spark, path, dates_to_compact(spark, path))
+    shape = "_id string, _source struct<event_id:string,slow:string,timing:struct<total:double,code:string>>"
+    return json_lines(read_documents(spark, path)).select(F.from_json("value", shape).alias("d")).selectExpr(
+        "d._id AS id", "CAST(d._source.event_id AS BIGINT) AS event_id", "d._source.slow AS slow",
+        "IF(d._source.timing.total IS NOT NULL, printf('%.3f', d._source.timing.total), NULL) AS total", "d._source.timing.code AS code",
+    )
+
+
+# --- sources -------------------------------------------------------------------
+
+
+def _as_text(lines, spark, compression="none"):
+    """The lines as closed text files."""
+    path = f"{shared_folder(spark, 'log')}/lines"
+    lines.select("value").write.option("compression", compression).text(path)
+    return path
+
+
+def _requests(found):
+    return found.selectExpr(
+        "request_id", "unix_seconds(`@timestamp`) AS epoch", "host", "CAST(status AS BIGINT) AS status"
+    )
+
+
+def text_scan(spark, sf_dir):
+    """Compressed text files, of which every line counts."""
+    path = _as_text(lines(spark, sf_dir), spark, "gzip")
+    return _requests(accepted(parse_access_log(read_access_log(spark, path))))
+
+
+def invalid_bytes(spark, sf_dir):
+    """Lines with bytes that are no text."""
+    broken = table(spark, sf_dir, "events").select(
+        F.expr(
+            """concat('{"timestamp":"2024-01-01T00:00:00Z","request_id":"e', event_id, '","host":"h',
+            CAST(unhex(CASE event_id % 3 WHEN 0 THEN 'FF' WHEN 1 THEN 'C3' ELSE 'C3A9' END) AS STRING), user_id % 5, '"}')"""
+        ).alias("value")
+    )
+    path = _as_text(broken, spark)
+    return accepted(parse_access_log(read_access_log(spark, path))).select("request_id", "host")
+
+
+def timestamp_parser(spark, sf_dir):
+    """Timestamps in a format of one's own: epoch seconds and an offset."""
+    seconds = "unix_date(CAST(ts AS DATE)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+    stamped = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        f"to_json(struct(concat({seconds}, CASE WHEN event_id % 7 = 0 THEN ' ?' WHEN event_id % 2 = 0 THEN ' 2' ELSE ' -3' END)"
+        " AS timestamp, concat('r', event_id) AS request_id)) AS value",
+    )
+
+    def epochs(raw):
+        seconds = F.try_to_number(F.split_part(raw, F.lit(" "), F.lit(1)), F.lit("99999999999")).cast("bigint")
+        hours = F.split_part(raw, F.lit(" "), F.lit(2)).try_cast("bigint")
+        instant = F.when(hours.isNotNull(), F.timestamp_seconds(seconds))
+        wall = F.make_timestamp_ntz(*map(F.lit, (1970, 1, 1, 0, 0, 0))) + F.make_interval(secs=seconds + hours * 3600)
+        return instant, F.when(hours.isNotNull(), wall)
+
+    found = accepted(parse_access_log(stamped, ts_parser=epochs))
+    return found.selectExpr("event_id", "unix_seconds(`@timestamp`) AS epoch", "CAST(ts_local AS STRING) AS wall_clock")
+
+
 # --- statistics ----------------------------------------------------------------
 
 
@@ -426,23 +548,101 @@ def streamed_stats(spark, sf_dir):
     return spark.read.schema("value string").text(f"{folder}/metrics").select("value")
 
 
+def streamed_stats_flushed(spark, sf_dir):
+    """Metric values of all intervals: closed by the stream, and flushed from its state."""
+    parsed_stream = accepted(parse_access_log(stream_lines(spark, sf_dir), hostname=HOSTNAME))
+    folder = shared_folder(spark, "stream-stats")
+    place = (f"{folder}/metrics", f"{folder}/checkpoint", PREFIX)
+    stream_stats(parsed_stream, *place, interval=3600, trigger=None).awaitTermination()
+    flush_stats(spark, *place)
+    return read_metrics(spark, f"{folder}/metrics").selectExpr("name", "value", "time AS bucket")
+
+
+def streamed_late(spark, sf_dir):
+    """Late records per interval: every tenth event arrives after all others."""
+    folder, events = shared_folder(spark, "stream-late"), table(spark, sf_dir, "events")
+    for late in (False, True):
+        events.where((F.col("event_id") % 10 == 0) == late).write.parquet(f"{folder}/events/late={late}")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events/*")
+        parsed_stream = accepted(parse_access_log(access_log_from_events(arriving)))
+        query = stream_stats(
+            parsed_stream, f"{folder}/metrics", f"{folder}/checkpoint", PREFIX,
+            interval=3600, trigger=None, late=f"{folder}/late",
+        )
+        query.awaitTermination()
+    return late_records(spark, f"{folder}/late")
+
+
+def _streamed(spark, arriving, **options):
+    folder = shared_folder(spark, "stream-documents")
+    query = stream_upsert(arriving, f"{folder}/documents", f"{folder}/checkpoint", trigger=None, hostname=HOSTNAME, **options)
+    query.awaitTermination()
+    return f"{folder}/documents"
+
+
 def streamed_documents(spark, sf_dir):
     """Current documents after the stream has been written to a table."""
-    folder = shared_folder(spark, "stream-documents")
     arriving = stream_lines(spark, sf_dir).withColumn("_seq", F.col("event_id"))
-    query = stream_upsert(
-        arriving,
-        f"{folder}/documents",
-        f"{folder}/checkpoint",
-        rejects=f"{folder}/rejects",
-        trigger=None,
-        hostname=HOSTNAME,
-    )
-    query.awaitTermination()
-    schema = documents(spark, sf_dir).schema
-    return read_documents(spark, f"{folder}/documents", schema).select(
-        "_index", "_id", "event_id", F.col("status").cast("bigint").alias("status")
-    )
+    path = _streamed(spark, arriving, rejects=shared_folder(spark, "stream-rejects"))
+    return _key_columns(read_documents(spark, path))
+
+
+def streamed_places(spark, sf_dir):
+    """Places of the stream's documents, with a range table that is not broadcast."""
+    arriving = stream_lines(spark, sf_dir).withColumn("_seq", F.col("event_id"))
+    path = _streamed(spark, arriving, ranges=nation_ranges(spark, sf_dir), broadcast_bytes=-1)
+    return _places(read_documents(spark, path))
+
+
+def streamed_files(spark, sf_dir):
+    """Documents of closed text files, a few files in each micro-batch."""
+    path = _as_text(lines(spark, sf_dir), spark)
+    found = read_documents(spark, _streamed(spark, stream_access_log(spark, path, max_files=3)))
+    return found.select("_index", "_id", "`@hostname`").withColumnRenamed("@hostname", "hostname")
+
+
+def streamed_table_stats(spark, sf_dir):
+    """Statistics that follow the table of documents instead of the lines."""
+    arriving = stream_lines(spark, sf_dir).withColumn("_seq", F.col("event_id"))
+    folder, path = shared_folder(spark, "stream-stats"), _streamed(spark, arriving)
+    place = (f"{folder}/metrics", f"{folder}/checkpoint", PREFIX)
+    stream_stats(stream_versions(spark, path), *place, interval=3600, trigger=None).awaitTermination()
+    flush_stats(spark, *place)
+    return read_metrics(spark, f"{folder}/metrics").selectExpr("name", "value", "time AS bucket")
+
+
+def streamed_growing(spark, sf_dir):
+    """Documents of files that are appended to between two triggers, the second time to their end.
+
+    Every task keeps a file of its own and cuts the first part within a line.
+    """
+    folder = shared_folder(spark, "growing").removeprefix("file:")
+    os.makedirs(f"{folder}/log")
+    text = lines(spark, sf_dir).select("value").repartition(4, "value").sortWithinPartitions("value")
+
+    def append(half):
+        def run(batches):
+            from pyspark import TaskContext
+
+            with open(f"{folder}/log/access-{TaskContext.get().partitionId()}.log", "ab") as file:
+                for n, batch in enumerate(batches):
+                    whole = "".join(f"{line}\n" for line in batch["value"].to_pylist()).encode()
+                    cut = len(whole) // 2 + 1 if n == 0 else 0
+                    if n == 0:  # a task that runs again goes on where the first part ended
+                        file.truncate(cut * half)
+                    file.write(whole[:cut] if half == 0 else whole[cut:])
+                    yield batch.slice(0, 0)
+
+        return run
+
+    for half in (0, 1):
+        text.mapInArrow(append(half), "value string").write.format("noop").mode("overwrite").save()
+        query = stream_upsert(
+            follow_access_log(spark, f"{folder}/log/access-*.log", start="earliest"),
+            f"{folder}/documents", f"{folder}/checkpoint", trigger=None, hostname=HOSTNAME,
+        )
+        query.awaitTermination()
+    return read_versions(spark, f"{folder}/documents").selectExpr("_index", "_id", "host", "CAST(status AS BIGINT) AS status")
 
 
 def queries() -> dict[str, Query]:
@@ -463,6 +663,7 @@ def queries() -> dict[str, Query]:
         "timestamp_formats": timestamp_formats,
         "geoip_join": geo_lookup,
         "geoip_join_shuffled": geo_lookup_shuffled,
+        "geoip_merge": geo_merge,
         "geoip_absent": geo_lookup_absent,
         "time_range": in_time_range,
         "status_filter": status_filter,
@@ -472,6 +673,12 @@ def queries() -> dict[str, Query]:
         "document_envelope": document_envelope,
         "document_lines": document_lines,
         "upsert_latest": upsert_latest,
+        "compacted_dates": compacted_dates,
+        "declared_table": declared_table,
+        "extension_documents": extension_documents,
+        "text_scan": text_scan,
+        "invalid_bytes": invalid_bytes,
+        "timestamp_parser": timestamp_parser,
         "interval_bucket": interval_bucket,
         "path_normalise": path_normalise,
         "latency_bin": latency_bins,
@@ -486,5 +693,11 @@ def queries() -> dict[str, Query]:
         "metric_lines": _metric_lines(10),
         "metric_lines_month": _metric_lines(MONTH),
         "stream_stats": streamed_stats,
+        "stream_stats_flushed": streamed_stats_flushed,
+        "stream_late": streamed_late,
+        "stream_table_stats": streamed_table_stats,
         "stream_upsert": streamed_documents,
+        "stream_geoip": streamed_places,
+        "stream_files": streamed_files,
+        "stream_growing": streamed_growing,
     }

@@ -2,12 +2,15 @@
 
 from logloom.operators.documents import (
     append_documents,
+    compact_dates,
     compact_documents,
+    dates_to_compact,
     json_lines,
     latest_documents,
     read_documents,
     read_versions,
     route_index,
+    stream_versions,
     to_documents,
     to_envelope,
     upsert_documents,
@@ -23,26 +26,36 @@ from logloom.operators.parse import accepted, parse_access_log, rejected
 from logloom.operators.stats import http_stats, metric_lines
 from logloom.plans.jobs import dump_log, index_log, measure_log, measure_log_to
 from logloom.schema import DOCUMENT_SCHEMA, ensure_table, load_schema, refresh_table
+from logloom.sinks import read_metrics
 from logloom.sources.access_log import (
     read_access_log,
     stream_access_log,
     stream_access_log_topic,
 )
-from logloom.streaming.queries import late_rows, stream_stats, stream_upsert
+from logloom.streaming.queries import (
+    flush_stats,
+    late_records,
+    stream_stats,
+    stream_stats_by_arrival,
+    stream_upsert,
+)
 
 __all__ = [
     "DOCUMENT_SCHEMA",
     "accepted",
     "append_documents",
     "apply_extensions",
+    "compact_dates",
     "compact_documents",
+    "dates_to_compact",
     "dump_log",
     "ensure_table",
+    "flush_stats",
     "geoip_join",
     "http_stats",
     "index_log",
     "json_lines",
-    "late_rows",
+    "late_records",
     "latest_documents",
     "load_ranges",
     "load_schema",
@@ -53,6 +66,7 @@ __all__ = [
     "parse_access_log",
     "read_access_log",
     "read_documents",
+    "read_metrics",
     "read_versions",
     "refresh_table",
     "register_extension",
@@ -61,7 +75,9 @@ __all__ = [
     "stream_access_log",
     "stream_access_log_topic",
     "stream_stats",
+    "stream_stats_by_arrival",
     "stream_upsert",
+    "stream_versions",
     "time_range",
     "to_documents",
     "to_envelope",

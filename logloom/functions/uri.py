@@ -51,30 +51,24 @@ def query_map(query: str) -> str:
     Names without a value are left out and repeated names keep their order.
     Dots in names become underscores; when names meet that way they replace
     each other instead of merging: the last dotted one counts, and a plain one
-    only when no dotted name maps to it.
+    only when no dotted name maps to it. The work grows like sorting the pairs.
     """
     given = f"filter(split({query}, '&'), _a -> _a RLIKE '(?s)=.')"
     name = form_decode("substring_index(_a, '=', 1)")
     value = form_decode("substr(_a, instr(_a, '=') + 1)")
-    pairs = f"transform({given}, _a -> struct({name} AS name, {value} AS value))"
-
-    def values(wanted: str) -> str:
-        return f"transform(filter(_pairs, _p -> _p.name = {wanted}), _p -> _p.value)"
-
-    dotted = "filter(_names, _d -> contains(_d, '.') AND replace(_d, '.', '_') = _o)"
-    winner = f"coalesce(try_element_at({dotted}, -1), _o)"
-    renamed = let(
-        "_outs",
-        "array_distinct(transform(_names, _n -> replace(_n, '.', '_')))",
-        f"map_from_arrays(_outs, transform(_outs, _o -> {let('_w', winner, values('_w'))}))",
-    )
-    plain = f"map_from_arrays(_names, transform(_names, _n -> {values('_n')}))"
-    body = let(
-        "_names",
-        "array_distinct(transform(_pairs, _p -> _p.name))",
-        f"CASE WHEN exists(_names, _n -> contains(_n, '.')) THEN {renamed} ELSE {plain} END",
-    )
-    return f"CASE WHEN {query} IS NOT NULL THEN {let('_pairs', pairs, body)} END"
+    # Sorted by name and place, the values of a name stand together, in their order.
+    pairs = f"sort_array(transform({given}, (_a, _i) -> struct({name} AS name, _i AS place, {value} AS value)))"
+    starts = "filter(sequence(0, size(_p) - 1), _i -> _i = 0 OR get(_p, _i).name <> get(_p, _i - 1).name)"
+    run = """transform(_s, (_b, _k) -> struct(replace(get(_p, _b).name, '.', '_') AS name,
+        contains(get(_p, _b).name, '.') AS dotted, get(_p, _b).place AS place,
+        transform(slice(_p, _b + 1, coalesce(get(_s, _k + 1), size(_p)) - _b), _v -> _v.value) AS given))"""
+    # Of the names that became equal the last one counts, dotted ones coming last.
+    last = """transform(filter(_r, (_x, _i) -> _i = size(_r) - 1 OR get(_r, _i + 1).name <> _x.name),
+        _x -> struct(_x.place, _x.name, _x.given))"""
+    body = let("_w", f"sort_array({last})", "map_from_arrays(_w.name, _w.given)")
+    body = let("_r", f"sort_array({run})", body)
+    body = f"CASE WHEN size(_p) = 0 THEN CAST(map() AS map<string,array<string>>) ELSE {let('_s', starts, body)} END"
+    return f"CASE WHEN {query} IS NOT NULL THEN {let('_p', pairs, body)} END"
 
 
 def query_point(query: str) -> str:

@@ -25,6 +25,8 @@ DEFAULT_TYPE = "access_log"
 
 #: Columns that steer a document and are no part of its body as such.
 CONTROL = ("_id", "_index", "_seq", "batch")
+#: Begins the names of batches that compaction has written.
+COMPACTED = "compacted-"
 # Fixed value: the folder name of a partition value that is NULL.
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 #: Most dates that a read names one by one; longer ranges are cut by a filter.
@@ -281,6 +283,22 @@ def read_documents(
     return latest_documents(versions).drop("batch")
 
 
+def stream_versions(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
+) -> DataFrame:
+    """Every version that is written to ``path``, as a stream of typed records.
+
+    Statistics can follow the table this way, and lines are decoded once for both.
+    What compaction writes has been seen before and is left out. Records without a
+    key are not in the table.
+    """
+    schema = table_schema(schema or kept_schema(spark, path) or DOCUMENT_SCHEMA)
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path).where(~F.col("batch").startswith(COMPACTED))
+
+
 def upsert_documents(
     spark: SparkSession, incoming: DataFrame, path: str, batch: str
 ) -> DataFrame:
@@ -301,7 +319,7 @@ def compact_documents(
     lost = {f.name for f in kept or ()} - {f.name for f in schema or kept or ()} - {"_index", "batch"}
     if lost:
         raise ValueError(f"compaction would drop {', '.join(sorted(lost))}")
-    append_documents(read_documents(spark, path, schema), target, "compacted")
+    append_documents(read_documents(spark, path, schema), target, "settled")
 
 
 def dates_to_compact(spark: SparkSession, path: str, least: int = 2) -> list[str]:
@@ -326,7 +344,7 @@ def compact_dates(spark: SparkSession, path: str, dates: Iterable[str], keep_sou
     sources = sorted(_folders(spark, path, dates, "*"))
     if not sources:
         return []
-    name = "compacted-" + hashlib.sha256("\n".join(sources).encode()).hexdigest()[:16]
+    name = COMPACTED + hashlib.sha256("\n".join(sources).encode()).hexdigest()[:16]
     schema = table_schema(kept_schema(spark, path) or DOCUMENT_SCHEMA)
     versions = spark.read.schema(schema).option("basePath", path).parquet(*sources)
     append_documents(latest_documents(versions), path, name, stale=False)

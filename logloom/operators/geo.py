@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,10 @@ from logloom.functions.address import ipv4_number
 from logloom.schema import ENRICHED_FIELDS
 
 _ADDRESS_BITS = 32
+#: Buckets of the merge lookup: as many as its broadcast list of buckets can have.
+_MERGE_BITS = 16
+
+BROADCAST_BYTES = 128 << 20
 
 
 def load_ranges(
@@ -30,26 +36,15 @@ def load_ranges(
 def geoip_join(
     records: DataFrame,
     ranges: DataFrame | None,
-    broadcast_bytes: int = 128 << 20,
+    broadcast_bytes: int = BROADCAST_BYTES,
     bucket_bits: int | None = None,
-    hot_share: float = 1e-4,
-    sequence: str = "_seq",
 ) -> DataFrame:
     """Add ``geoip``, ``city`` and ``region_name`` of ``remote_addr``.
 
     ``ranges`` has ``lo`` and ``hi`` (inclusive address numbers, ranges do not
     overlap), ``lat``, ``lon``, ``city`` and ``region_name``. Every record
     stays: one without a match gets NULLs, and so does every record when there
-    is no range table.
-
-    A range is cut at multiples of a power of two and joined by that bucket,
-    which adds at most one row per bucket to the range table. The range table
-    is measured first. Up to ``broadcast_bytes`` it is broadcast and the
-    records are not shuffled; beyond that both sides are shuffled by bucket,
-    and buckets holding more than ``hot_share`` of the records are spread, by
-    the place of each line (``sequence``), so a task that runs again after a
-    loss spreads them the same way. Without such a column the order of the
-    input decides: then it should come straight from files.
+    is no range table. See ``RangeLookup``.
     """
     if ranges is None:
         return records.withColumns(
@@ -59,41 +54,98 @@ def geoip_join(
                 "region_name": F.lit(None).cast("string"),
             }
         )
-    places = ranges.select(
-        "lo",
-        "hi",
-        F.struct(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).alias("geoip"),
-        "city",
-        "region_name",
-    )
-    if bucket_bits is None:
-        bucket_bits, size = _measure(places)
-    else:
-        size = _sizes(places, [bucket_bits]).first()[1]
-    width = 1 << (_ADDRESS_BITS - bucket_bits)
-    pieces = places.select(
-        "*",
-        F.explode(
-            F.sequence(_bucket(F.col("lo"), width), _bucket(F.col("hi"), width))
-        ).alias("_bucket"),
-    )
-    numbered = records.drop(*ENRICHED_FIELDS).withColumn(
-        "_address", F.expr(ipv4_number("remote_addr"))
-    ).withColumn("_bucket", _bucket(F.col("_address"), width))
+    return RangeLookup(ranges, broadcast_bytes, bucket_bits).join(records)
 
-    if size <= broadcast_bytes:
-        joined = _bucket_join(numbered, F.broadcast(pieces), ["_bucket"])
-    elif records.isStreaming:
-        # A micro-batch is bounded by its trigger, and cannot be counted first.
-        joined = _bucket_join(numbered, pieces, ["_bucket"])
-    else:
-        joined = _salted_join(numbered, pieces, hot_share, sequence)
-    kept = [c for c in records.columns if c not in ENRICHED_FIELDS]
-    return joined.select(*[F.col(f"r.`{c}`") for c in kept], *ENRICHED_FIELDS)
 
+class RangeLookup:
+    """A range table that is measured once and may serve many micro-batches.
 
-def _bucket(number: Column, width: int) -> Column:
-    return F.floor(number / width).cast("int")
+    A range is cut at multiples of a power of two, its buckets, which adds at
+    most one row per bucket. Up to ``broadcast_bytes`` the pieces are broadcast and joined by
+    bucket; the records are not shuffled.
+
+    Beyond, only the different addresses are looked up. They and the pieces of
+    their buckets are sorted together within each bucket, and every address takes
+    the last range that begins before it. A bucket has a bounded number of
+    addresses, so none is hot, however often one client occurs: its copies go into
+    one row before the shuffle. The records are then joined by address with at
+    most one row each. That join is a broadcast if few addresses were found, and
+    adaptive execution splits an address with very many records; records without an address
+    are spread.
+    """
+
+    def __init__(self, ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, bucket_bits: int | None = None):
+        self.places = ranges.select(
+            "lo",
+            "hi",
+            F.struct(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).alias("geoip"),
+            "city",
+            "region_name",
+        )
+        self.broadcast_bytes, self.given_bits = broadcast_bytes, bucket_bits
+
+    @cached_property
+    def _measured(self) -> tuple[int, int]:
+        """Bucket bits, finer for a large table, and its size in bytes once it is cut."""
+        if self.given_bits is not None:
+            return self.given_bits, _sizes(self.places, [self.given_bits]).first()[1]
+        rows, coarse, fine = _sizes(self.places, [16, 20]).first()
+        return (16, coarse) if rows <= 1 << 18 else (20, fine)
+
+    def join(self, records: DataFrame) -> DataFrame:
+        bits, size = self._measured
+        numbered = records.drop(*ENRICHED_FIELDS).withColumn("_address", F.expr(ipv4_number("remote_addr")))
+        if size <= self.broadcast_bytes:
+            joined = self._broadcast_join(numbered, bits)
+        elif records.isStreaming:
+            raise ValueError("a range table beyond broadcast_bytes needs bounded records: look up in each micro-batch")
+        else:
+            joined = self._merge_join(numbered)
+        kept = [c for c in records.columns if c not in ENRICHED_FIELDS]
+        return joined.select(*[F.col(f"r.`{c}`") for c in kept], *ENRICHED_FIELDS)
+
+    def _pieces(self, bits: int) -> DataFrame:
+        buckets = F.sequence(_bucket(F.col("lo"), bits), _bucket(F.col("hi"), bits))
+        return self.places.select("*", F.explode(buckets).alias("_bucket"))
+
+    def _broadcast_join(self, numbered: DataFrame, bits: int) -> DataFrame:
+        records = numbered.withColumn("_bucket", _bucket(F.col("_address"), bits)).alias("r")
+        inside = F.col("r._address").between(F.col("p.lo"), F.col("p.hi"))
+        pieces = F.broadcast(self._pieces(bits)).alias("p")
+        return records.join(pieces, (F.col("r._bucket") == F.col("p._bucket")) & inside, "left")
+
+    def _merge_join(self, numbered: DataFrame) -> DataFrame:
+        found = self.find(numbered.select("_address")).alias("p")
+        # Records without an address match nothing; by their other columns they go to many tasks.
+        spread = [f"`{c}`" for c in ("_seq", "request_id", "remote_addr", "@timestamp") if c in numbered.columns] or ["1"]
+        key = f"coalesce(_address, -1L - pmod(xxhash64({', '.join(spread)}), 100000L))"
+        records = numbered.withColumn("_key", F.expr(key)).alias("r")
+        return records.join(found, F.col("r._key") == F.col("p._address"), "left")
+
+    def find(self, addresses: DataFrame) -> DataFrame:
+        """The place of each different ``_address`` that lies in a range."""
+        wanted = (
+            addresses.where("_address IS NOT NULL").distinct()
+            .withColumn("_bucket", _bucket(F.col("_address"), _MERGE_BITS))
+        )
+        # At most 2 ** _MERGE_BITS numbers.
+        buckets = F.broadcast(wanted.select("_bucket").distinct())
+        starts = self._pieces(_MERGE_BITS).join(buckets, "_bucket", "left_semi").selectExpr(
+            "_bucket", f"greatest(lo, _bucket * {1 << (_ADDRESS_BITS - _MERGE_BITS)}L) AS _address",
+            "struct(hi, geoip, city, region_name) AS place", "false AS wanted",
+        )
+        kind = starts.schema["place"].dataType.simpleString()
+        both = wanted.selectExpr("_bucket", "_address", f"CAST(NULL AS {kind}) AS place", "true AS wanted").union(
+            starts.select("_bucket", "_address", "place", "wanted")
+        )
+        before = "last_value(place) IGNORE NULLS OVER (PARTITION BY _bucket ORDER BY _address, wanted)"
+        return both.selectExpr("_address", "wanted", f"{before} AS place").where(
+            "wanted AND _address <= place.hi"
+        ).select("_address", *[f"place.{c}" for c in ENRICHED_FIELDS])
+
+
+def _bucket(number: Column, bits: int) -> Column:
+    return F.floor(number / (1 << (_ADDRESS_BITS - bits))).cast("int")
 
 
 def _sizes(places: DataFrame, bits: list[int]) -> DataFrame:
@@ -103,65 +155,6 @@ def _sizes(places: DataFrame, bits: list[int]) -> DataFrame:
     )
     cut = []
     for b in bits:
-        width = 1 << (_ADDRESS_BITS - b)
-        pieces = _bucket(F.col("hi"), width) - _bucket(F.col("lo"), width) + 1
+        pieces = _bucket(F.col("hi"), b) - _bucket(F.col("lo"), b) + 1
         cut.append(F.coalesce(F.sum(row_bytes * pieces), F.lit(0)).alias(f"bytes_{b}"))
     return places.agg(F.count("*").alias("rows"), *cut)
-
-
-def _measure(places: DataFrame) -> tuple[int, int]:
-    """Bucket bits for a range table, finer for a large one, and its cut size."""
-    rows, coarse, fine = _sizes(places, [16, 20]).first()
-    return (16, coarse) if rows <= 1 << 18 else (20, fine)
-
-
-def _bucket_join(numbered: DataFrame, pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on the keys, with the range test as part of the condition."""
-    condition = F.col("r._address").between(F.col("p.lo"), F.col("p.hi"))
-    for key in keys:
-        condition = (F.col(f"r.{key}") == F.col(f"p.{key}")) & condition
-    return numbered.alias("r").join(pieces.alias("p"), condition, "left")
-
-
-def _salted_join(
-    numbered: DataFrame, pieces: DataFrame, hot_share: float, sequence: str
-) -> DataFrame:
-    """Shuffled join by bucket in which hot buckets use several tasks.
-
-    A bucket with n times ``hot_share`` of the records is split n+1 ways: its
-    records take turns, its ranges are repeated once for each part. Fewer than
-    ``1 / hot_share`` buckets can be that hot, so their list is small whatever
-    the data. Records without an address match nothing and take turns too.
-    """
-    counts = (
-        numbered.where("_bucket is not null").groupBy("_bucket").agg(F.count("*").alias("n"))
-    )
-    limit = counts.agg(F.sum("n") * hot_share).scalar()
-    hot = counts.where(F.col("n") > limit).select(
-        F.col("_bucket").alias("_hot"),
-        (F.floor(F.col("n") / limit) + 1).cast("int").alias("_ways"),
-    )
-
-    def ways(side: DataFrame) -> DataFrame:
-        return side.join(F.broadcast(hot), F.col("_bucket") == F.col("_hot"), "left")
-
-    parts = F.when(F.col("_bucket").isNull(), F.lit(int(1 / hot_share))).otherwise(
-        F.coalesce("_ways", F.lit(1))
-    )
-    if sequence in numbered.columns:
-        turn = F.xxhash64(sequence)
-    else:
-        turn = F.monotonically_increasing_id()
-    left = (
-        ways(numbered)
-        .withColumn("_part", F.pmod(turn, parts).cast("int"))
-        .drop("_hot", "_ways")
-    )
-    right = (
-        ways(pieces)
-        .withColumn(
-            "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1))
-        )
-        .drop("_hot", "_ways")
-    )
-    return _bucket_join(left, right.hint("merge"), ["_bucket", "_part"])

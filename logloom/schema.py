@@ -116,6 +116,7 @@ STATS_SCHEMA = T.StructType(
         T.StructField("upstream_cache_status", T.StringType()),
         T.StructField("bin", T.StringType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("whole", T.LongType()),
     ]
 )
 

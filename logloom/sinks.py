@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom.operators.documents import DEFAULT_TYPE, json_lines
 
+#: Begins the names of batches that hold intervals not closed yet.
+FLUSH = "flush-"
+
 
 def write_json_lines(documents: DataFrame, path: str, doc_type: str = DEFAULT_TYPE) -> None:
     """One JSON envelope per line; no shuffle."""
@@ -30,3 +33,23 @@ def write_metrics(lines: DataFrame, path: str, batch: str) -> None:
         .partitionBy("day")
         .text(f"{path}/batch={batch}")
     )
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Metric values by ``name`` and ``time``, each once.
+
+    Lines are written at least once. Of several of one name and time that of a closed
+    interval counts before that of an open one, then the line of the last batch name.
+    """
+    lines = spark.read.schema("value string, batch string, day date").text(path)
+    part = r"regexp_extract(value, r'^(.*) (\S+) (\S+)$', {})"
+    parts = lines.selectExpr(
+        f"{part.format(1)} AS name", f"{part.format(2)} AS value", f"CAST({part.format(3)} AS BIGINT) AS time", "batch"
+    )
+    chosen = Window.partitionBy("name", "time").orderBy(F.col("batch").startswith(FLUSH), F.desc("batch"))
+    return parts.withColumn("_rank", F.row_number().over(chosen)).where("_rank = 1").drop("_rank", "batch")
+
+
+def write_late(counts: DataFrame, path: str, batch: str) -> None:
+    """Late records per interval of one batch, in a folder of its own."""
+    counts.write.mode("overwrite").json(f"{path}/batch={batch}")

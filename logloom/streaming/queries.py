@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from logloom.operators.documents import DEFAULT_PATTERN, append_documents, to_documents
 from logloom.operators.extensions import Extension, apply_extensions
 from logloom.operators.filters import time_range
+from logloom.operators.geo import BROADCAST_BYTES, RangeLookup
 from logloom.operators.parse import accepted, parse_access_log, rejected
-from logloom.operators.stats import DEFAULT_INTERVAL, http_stats, metric_lines
-from logloom.sinks import write_metrics, write_rejected
+from logloom.operators.stats import (
+    DEFAULT_INTERVAL,
+    arrival_stats,
+    arrivals,
+    arrived,
+    http_stats,
+    metric_lines,
+    open_stats,
+)
+from logloom.sinks import FLUSH, write_late, write_metrics, write_rejected
 from logloom.sources.access_log import number_lines
 
 # How long the sinks wait at most, and how late a record may be.
@@ -48,30 +59,94 @@ def stream_stats(
     interval: int = DEFAULT_INTERVAL,
     delay: str = DEFAULT_DELAY,
     trigger: str | None = DEFAULT_TRIGGER,
+    late: str | None = None,
 ) -> StreamingQuery:
     """Write the metric lines of every closed interval to ``path``.
 
     An interval closes when a record ``delay`` past its end has been seen;
-    records that come later than that are dropped and counted (``late_rows``).
-    Intervals still open when the input ends stay in the state, so bounded
-    input belongs to the batch form of ``http_stats``.
+    records that come later than that are dropped. Intervals still open when the
+    input ends stay in the state; ``flush_stats`` writes them.
+
+    ``late`` is a folder for the number of dropped records per interval and
+    micro-batch (``late_records`` adds them up). They are told by the watermark
+    that Spark has noted for the micro-batch before this one, which is the one it
+    drops by. A second branch of the query finds them, so lines are decoded twice;
+    a stream of documents already written (``stream_versions``) spares that.
     """
     lines = metric_lines(http_stats(records, interval, delay), prefix)
-    return _start(
-        lines,
-        lambda batch, number: write_metrics(batch, path, _batch_name(batch, number)),
-        checkpoint,
-        trigger,
-    )
+    if late is None:
+        return _start(
+            lines,
+            lambda batch, number: write_metrics(batch, path, _batch_name(batch, number)),
+            checkpoint,
+            trigger,
+        )
+    every = lines.unionByName(arrivals(records, interval).withColumn("value", F.lit(None).cast("string")))
 
+    def handle(batch: DataFrame, number: int) -> None:
+        closed = _watermark(batch.sparkSession, checkpoint, number - 1)
+        over = F.col("value").isNotNull() | ((F.col("bucket") + interval) * 1000 <= closed)
+        rows, name = batch.where(over).persist(), _batch_name(batch, number)
+        try:  # both outputs of a micro-batch that is run once
+            write_metrics(rows.where("value IS NOT NULL"), path, name)
+            write_late(rows.where("value IS NULL").groupBy("bucket").agg(F.count("*").alias("n")), late, name)
+        finally:
+            rows.unpersist()
+
+    return _start(every, handle, checkpoint, trigger)
+
+
+def _watermark(spark: SparkSession, checkpoint: str, number: int) -> int:
+    """Milliseconds of the watermark noted for a micro-batch; 0 before the first."""
+    if number < 0:
+        return 0
+    notes = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{number}").where("value LIKE '{%batchWatermarkMs%'")
+    return json.loads(notes.first().value)["batchWatermarkMs"]
+
+
+def late_records(spark: SparkSession, late: str) -> DataFrame:
+    """(bucket, n): how many records came too late for each interval, over all runs."""
+    return spark.read.schema("bucket bigint, n bigint").json(late).groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def flush_stats(spark: SparkSession, path: str, checkpoint: str, prefix: str) -> None:
+    """Write the metric lines of the intervals that a stopped ``stream_stats`` left open.
+
+    They are read from the stream's state, which stays as it is. If the stream
+    goes on, the intervals are written again when they close, with what came
+    since; ``read_metrics`` returns those lines then. Flushing again
+    replaces the flush before.
+    """
+    query = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+    state = spark.read.format("statestore").load(checkpoint)
+    write_metrics(metric_lines(open_stats(state), prefix), path, f"{FLUSH}{query}")
+
+
+def stream_stats_by_arrival(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    prefix: str,
+    late: str,
+    interval: int = DEFAULT_INTERVAL,
+    delay: float = 5.0,
+    trigger: str | None = DEFAULT_TRIGGER,
+) -> StreamingQuery:
+    """Write the metric lines of intervals that close by the clock, see ``arrival_stats``.
+
+    For sources that may fall silent: no later record is needed to close an
+    interval. Late records are counted in ``late`` as by ``stream_stats``.
+    """
+
+    def handle(batch: DataFrame, number: int) -> None:
+        groups, name = batch.persist(), _batch_name(batch, number)
+        try:
+            write_metrics(metric_lines(arrived(groups), prefix), path, name)
+            write_late(groups.where("late IS NOT NULL").groupBy("bucket").agg(F.sum("late").alias("n")), late, name)
+        finally:
+            groups.unpersist()
 
-def late_rows(query: StreamingQuery) -> int:
-    """Records dropped because their interval had been closed already."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    return _start(arrival_stats(records, interval, delay), handle, checkpoint, trigger)
 
 
 def stream_upsert(
@@ -84,14 +159,18 @@ def stream_upsert(
     min_timestamp=None,
     max_timestamp=None,
     trigger: str | None = DEFAULT_TRIGGER,
+    ranges: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
     **parse_options,
 ) -> StreamingQuery:
     """Parse a stream of lines and append its documents to the table at ``path``.
 
     A replayed micro-batch replaces its own folder, named by query and number, and readers settle repeated
-    deliveries, so restarts and duplicates leave one document per key.
+    deliveries, so restarts and duplicates leave one document per key. Places are
+    looked up in ``ranges``, which are measured once for all micro-batches.
     """
     extensions = list(extensions)
+    lookup = RangeLookup(ranges, broadcast_bytes) if ranges is not None else None
 
     def handle(batch: DataFrame, number: int) -> None:
         name = _batch_name(batch, number)
@@ -101,7 +180,10 @@ def stream_upsert(
             # Both outputs read the micro-batch, which the trigger bounds.
             records = records.persist()
         try:
-            kept = apply_extensions(accepted(records), extensions)
+            kept = accepted(records)
+            if lookup is not None:
+                kept = lookup.join(kept)
+            kept = apply_extensions(kept, extensions)
             kept = time_range(kept, min_timestamp, max_timestamp)
             append_documents(to_documents(kept, pattern), path, name, stale=False)
             if rejects is not None:

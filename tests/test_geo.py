@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.operators.geo import geoip_join, load_ranges
+from logloom.operators.geo import RangeLookup, geoip_join, load_ranges
 
 
 def number(address):
@@ -42,7 +42,7 @@ def brute(ranges, address):
     return next((c for lo, hi, _, _, c, _ in ranges if lo <= n <= hi), None)
 
 
-@pytest.mark.parametrize("options", [{}, {"bucket_bits": 20}, {"broadcast_bytes": -1}, {"broadcast_bytes": -1, "hot_share": 0.02}, {"broadcast_bytes": -1, "hot_share": 0.02, "sequence": "n"}])
+@pytest.mark.parametrize("options", [{}, {"bucket_bits": 20}, {"broadcast_bytes": -1}])
 def test_matches_brute_force(spark, options):
     ranges, addresses = make(3)
     table = spark.createDataFrame(
@@ -71,8 +71,41 @@ def test_plans(spark):
     small = geoip_join(records, table)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small and "NestedLoop" not in small and "Cartesian" not in small
     assert "Exchange hashpartitioning" not in small
-    large = geoip_join(records, table, broadcast_bytes=-1)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in large and "NestedLoop" not in large and "Cartesian" not in large
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = geoip_join(records.repartition(3), table, broadcast_bytes=-1)
+        large = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "NestedLoop" not in large and "Cartesian" not in large
+    # Addresses become one row each before they are shuffled, and records are joined by them alone.
+    assert "HashAggregate(keys=[_address" in large and "LeftOuter" in large
+    assert "SortMergeJoin [_key" in large
+
+
+def test_one_measurement_serves_many_batches(spark):
+    ranges, addresses = make(5)
+    table = spark.createDataFrame(
+        ranges, "lo bigint, hi bigint, lat double, lon double, city string, region_name string"
+    )
+    for size in (-1, 1 << 20):
+        lookup = RangeLookup(table, size)
+        for part in (addresses[:200], addresses[200:], []):
+            records = spark.createDataFrame([(a,) for a in part], "remote_addr string")
+            found = lookup.join(records).select("remote_addr", "city").collect()
+            assert sorted(map(str, found)) == sorted(
+                str(r) for r in spark.createDataFrame([(a, brute(ranges, a)) for a in part], "remote_addr string, city string").collect()
+            )
+
+
+def test_a_large_table_needs_bounded_records(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    stream = spark.readStream.schema("remote_addr string").json(str(tmp_path / "log"))
+    table = spark.createDataFrame([(1, 2, 0.0, 0.0, "c", "r")], "lo bigint, hi bigint, lat double, lon double, city string, region_name string")
+    assert geoip_join(stream, table).isStreaming
+    with pytest.raises(ValueError, match="micro-batch"):
+        geoip_join(stream, table, broadcast_bytes=-1)
 
 
 def test_absent_ranges(spark, tmp_path):

@@ -4,16 +4,24 @@ import datetime as dt
 import json
 import os
 import shutil
+import time
 
 import pytest
 from conftest import record
 
-from logloom.operators.documents import read_documents, read_versions
+from logloom.operators.documents import compact_dates, dates_to_compact, read_documents, read_versions, stream_versions
 from logloom.operators.parse import accepted, parse_access_log
 from logloom.operators.stats import http_stats, metric_lines
 from logloom.plans.jobs import index_log
+from logloom.sinks import read_metrics
 from logloom.sources.access_log import read_access_log, stream_access_log
-from logloom.streaming.queries import late_rows, stream_stats, stream_upsert
+from logloom.streaming.queries import (
+    flush_stats,
+    late_records,
+    stream_stats,
+    stream_stats_by_arrival,
+    stream_upsert,
+)
 
 
 @pytest.fixture
@@ -115,27 +123,131 @@ def test_last_interval_stays_open(spark, folder, tmp_path):
 
 
 def test_late_records_are_dropped_and_counted(spark, folder, tmp_path):
-    path, check = str(tmp_path / "metrics"), str(tmp_path / "check")
+    path, check, late = (str(tmp_path / n) for n in ("metrics", "check", "late"))
 
     def catch_up():
         source = stream_access_log(spark, folder.path, max_files=1)
         records = accepted(parse_access_log(source))
-        return run(stream_stats(records, path, check, "p", trigger=None))
+        run(stream_stats(records, path, check, "p", trigger=None, late=late))
+        return {r.bucket - 1704067200: r.n for r in late_records(spark, late).collect()}
 
     folder("a", at(3), at(8), at(14))
-    assert late_rows(catch_up()) == 0
+    assert catch_up() == {}
     folder("b", at(9), at(100))  # not late: the watermark is at 9 s
-    assert late_rows(catch_up()) == 0
-    folder("c", at(5), at(101))  # its interval was closed
-    assert late_rows(catch_up()) > 0
+    assert catch_up() == {}
+    # Its interval was closed. Three rows of the aggregation each, but records are counted.
+    folder("c", at(5, upstream_response_time="0.1"), at(6, bytes_sent=1), at(7, status=0), at(101), at(15))
+    assert catch_up() == {0: 2, 10: 1}
+    assert catch_up() == {0: 2, 10: 1}
     counts = {
         r.value.split()[2]: r.value.split()[1]
         for r in spark.read.schema("value string").text(path).collect()
-        if ".count." in r.value
+        if ".request_time.count." in r.value
     }
     assert counts == {"1704067200": "3", "1704067210": "1"}
 
 
+def test_late_records_over_many_triggers(spark, folder, tmp_path):
+    """More micro-batches than progress reports are remembered."""
+    for n in range(8):
+        folder(f"{n}", at(1000 + 100 * n), *[at(5)] * (5 if n == 2 else 0), modified=1704067300 + n)
+    late, kept = str(tmp_path / "late"), spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        source = stream_access_log(spark, folder.path, max_files=1)
+        records = accepted(parse_access_log(source))
+        query = run(stream_stats(records, str(tmp_path / "m"), str(tmp_path / "check"), "p", trigger=None, late=late))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert len(query.recentProgress) <= 3
+    assert [(r.bucket, r.n) for r in late_records(spark, late).collect()] == [(1704067200, 5)]
+
+
+def test_flush_writes_open_intervals(spark, folder, tmp_path):
+    path, check = str(tmp_path / "metrics"), str(tmp_path / "check")
+
+    def catch_up():
+        records = accepted(parse_access_log(stream_access_log(spark, folder.path)))
+        run(stream_stats(records, path, check, "p", trigger=None))
+        flush_stats(spark, path, check, "p")
+        return sorted((r.name, r.value, r.time) for r in read_metrics(spark, path).collect())
+
+    def batch():
+        stats = http_stats(accepted(parse_access_log(read_access_log(spark, folder.path))))
+        lines = (r.value.rsplit(" ", 2) for r in metric_lines(stats, "p").collect())
+        return sorted((n, v, int(t)) for n, v, t in lines)
+
+    big = 9007199254740993
+    folder("a", *[at(s, host=f"h{s % 3}", bytes_sent=s) for s in range(0, 95)], at(96, bytes_sent=big), at(97))
+    assert catch_up() == batch()
+    assert any(v == str(big) for _, v, _ in batch())
+    # The stream goes on: open intervals get more, close, and others open.
+    folder("b", at(98, bytes_sent=5), at(140), at(155, upstream_response_time="0.5"))
+    assert catch_up() == batch()
+    assert len(spark.read.text(path).collect()) > len(batch())
+
+
+def test_exact_bytes(spark, lines):
+    rows = [record(request_id=str(n), bytes_sent=b, host=h) for n, (h, b) in enumerate([("a", 2**53 + 1), ("a", 0), ("b", 2**63 - 1), ("b", 2**63 - 1), ("c", None)])]
+    stats = http_stats(accepted(parse_access_log(lines(*rows)))).where("metric = 'bytes_sent'")
+    found = {r.value.split(".")[2]: r.value.split()[1] for r in metric_lines(stats, "p").collect()}
+    assert found == {"a": "9007199254740993", "b": "18446744073709551616", "c": "0"}
+
+
+def test_intervals_close_when_the_source_is_silent(spark, folder, tmp_path):
+    path, check, late = (str(tmp_path / n) for n in ("metrics", "check", "late"))
+    big = 2**53 + 1
+    folder("a", at(3, bytes_sent=big), at(8), at(14, host="b", upstream_response_time="0.2"))
+    records = accepted(parse_access_log(stream_access_log(spark, folder.path)))
+    query = stream_stats_by_arrival(records, path, check, "p", late, delay=1.0, trigger="1 second")
+    try:
+        wait(query, lambda: len(metrics(spark, path)) >= 8)
+        assert metrics(spark, path) == sorted(
+            r.value for r in metric_lines(http_stats(accepted(parse_access_log(read_access_log(spark, folder.path)))), "p").collect()
+        )
+        folder("b", at(5), at(6, bytes_sent=1), at(40))
+        wait(query, lambda: len(metrics(spark, path)) >= 11)
+        wait(query, lambda: late_records(spark, late).count() == 1)
+    finally:
+        query.stop()
+    assert [(r.bucket, r.n) for r in late_records(spark, late).collect()] == [(1704067200, 2)]
+    assert f"p.bytes_sent.example_com.a.b.200 {big} 1704067200" in metrics(spark, path)
+
+
+def metrics(spark, path):
+    try:
+        return sorted(r.value for r in spark.read.schema("value string").text(path).collect())
+    except Exception:  # nothing written yet, or a folder being replaced
+        return []
+
+
+def wait(query, done, seconds=90):
+    end = time.time() + seconds
+    while not done():
+        assert query.exception() is None and time.time() < end
+        time.sleep(0.5)
+
+
+def test_statistics_follow_the_table(spark, folder, tmp_path):
+    table, path = str(tmp_path / "docs"), str(tmp_path / "metrics")
+
+    def catch_up():
+        lines = stream_access_log(spark, folder.path)
+        run(stream_upsert(lines, table, str(tmp_path / "check"), trigger=None))
+        stream = stream_versions(spark, table)
+        run(stream_stats(stream, path, str(tmp_path / "check2"), "p", trigger=None, late=str(tmp_path / "late")))
+        flush_stats(spark, path, str(tmp_path / "check2"), "p")
+
+    folder("a", at(0), at(1), at(1, host="again"), at(33))
+    catch_up()
+    folder("b", at(34))
+    catch_up()
+    compact_dates(spark, table, dates_to_compact(spark, table))
+    catch_up()
+    batch = metric_lines(http_stats(accepted(parse_access_log(read_access_log(spark, folder.path)))), "p")
+    assert sorted(f"{r.name} {r.value} {r.time}" for r in read_metrics(spark, path).collect()) == sorted(r.value for r in batch.collect())
+
+
 def test_two_writers_of_one_table(spark, folder, tmp_path):
     table, bad = str(tmp_path / "docs"), str(tmp_path / "bad")
     folder("a", at(0), "{bad")
