@@ -8,7 +8,8 @@ comes within ``MARGIN``.
 
 The classifiers are fitted on a bounded sample of labelled rows (``sample`` rows
 over all languages, expected; drawn by hash of the key), by gradient steps on the
-driver: what reaches it are ``sample`` count vectors of ``DIMS`` numbers.
+driver: what reaches it are the non-zero counts of ``sample`` vectors, which fill
+one array of ``sample`` x ``DIMS`` numbers.
 
 A text without letters or a null text is ``und`` with score 0. Rows with null
 ``doc_id`` take part; rows without a label are predicted, not learned from. If
@@ -27,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.store import stored
 from logloom.llm.words import slices, text_bytes
 
 DIMS = 1 << 12
@@ -75,8 +77,10 @@ def codewords(n: int) -> np.ndarray:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """A weight vector per bit (the last weight is the offset); languages count alike."""
-    x = np.c_[x, np.ones(len(x), np.float32)]
+    """A weight vector per bit (the last weight is the offset); languages count alike.
+
+    ``x`` ends with a column of ones.
+    """
     weight = 1 / np.bincount(y, minlength=len(codes))[y]
     weight = (weight / weight.sum())[:, None].astype(np.float32)
     target = codes[y].astype(np.float32)
@@ -91,25 +95,43 @@ def _fit(x: np.ndarray, y: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]):
+    """The places and values of the counts that are not zero."""
     for batch in slices(batches):
         vectors = _features(batch["text"])
-        yield pa.RecordBatch.from_arrays([batch["lang"], pa.array([v.tobytes() for v in vectors], pa.binary())], ["lang", "vector"])
+        places = [np.flatnonzero(v) for v in vectors]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["lang"],
+                pa.array([p.astype("<u2").tobytes() for p in places], pa.binary()),
+                pa.array([v[p].astype("<f4").tobytes() for v, p in zip(vectors, places)], pa.binary()),
+            ],
+            ["lang", "places", "counts"],
+        )
 
 
 def fit_languages(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, codewords, weights) from ``labelled`` (doc_id, text, lang)."""
+    """(languages, codewords, weights) from ``labelled`` (doc_id, text, lang).
+
+    Rates per language are broadcast where there are at most ``sample`` languages.
+    """
     rows = labelled.selectExpr("CAST(doc_id AS STRING) AS doc_id", "CAST(text AS STRING) AS text", "CAST(lang AS STRING) AS lang")
     rows = rows.where((F.col("lang") != UNKNOWN) & F.col("text").rlike(LETTER))
     share = rows.groupBy("lang").count()
-    share = share.selectExpr("lang AS of", f"{sample} / (count(*) OVER ()) / count AS rate")
+    share = stored(share.selectExpr("lang AS of", f"{sample} / (count(*) OVER ()) / count AS rate"), "rates")
+    if share.count() <= sample:
+        share = F.broadcast(share)
     drawn = rows.join(share, F.col("lang") == F.col("of")).where("pmod(xxhash64(doc_id, 'sample'), 1000000007) < rate * 1000000007D")
-    found = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, vector binary").toArrow()
+    found = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, places binary, counts binary").toArrow()
     languages = sorted(set(found["lang"].to_pylist()))
     codes = codewords(len(languages))
     if not languages:
         return languages, codes, np.zeros((DIMS + 1, 1), np.float32)
-    x = np.stack([np.frombuffer(v, np.float32) for v in found["vector"].to_pylist()])
+    x = np.zeros((len(found), DIMS + 1), np.float32)
+    x[:, DIMS] = 1
+    for row, (places, counts) in enumerate(zip(found["places"], found["counts"])):
+        x[row, np.frombuffer(places.as_buffer(), "<u2")] = np.frombuffer(counts.as_buffer(), "<f4")
     y = np.searchsorted(languages, found["lang"].to_pylist())
+    del found
     return languages, codes, _fit(x, y, codes)
 
 
