@@ -9,8 +9,9 @@ coordinates; a run is removed where the path stands in an earlier document.
 Most windows stand once, and never become edges: each window has a minimizer
 (the least hash of its inner word 5-grams), windows next to each other share it,
 and only windows whose minimizer stands in two documents are looked at again.
-Equal windows have equal minimizers, so nothing repeated is missed. Windows are
-compared by 128 bits of two independent hashes.
+Equal windows have equal minimizers, so nothing repeated is missed. The windows
+looked at again are told apart by a cryptographic digest of their words; fast
+hashes, for which collisions can be made, only choose minimizers and name nodes.
 
 Null texts have no words. Documents with a null ``doc_id`` are not compared and
 lose nothing; rows that repeat a doc_id belong to one document, so they don't
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
 from logloom.llm.store import stored, texts
-from logloom.llm.words import Words, mixed, slices, window_hashes
+from logloom.llm.words import Words, slices, window_hashes
 
 SIZE = 13
 GRAM = 5
@@ -58,8 +59,11 @@ def _minimizers(batches: Iterator[pa.RecordBatch], size: int, gram: int):
         yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], ["m", "doc_id", "lo", "hi"])
 
 
-def _second(words: np.ndarray) -> np.ndarray:
-    return mixed(words ^ np.uint64(0xA5A5_5A5A_1234_8765))
+def _digests(joined: bytes, start: np.ndarray, end: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Two 64-bit halves of a digest of the words of each window."""
+    spans = zip(start[at].tolist(), end[at + size - 1].tolist())
+    parts = [hashlib.blake2b(joined[a:b], digest_size=16).digest() for a, b in spans]
+    return np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
 
 
 def _edges(batches: Iterator[pa.RecordBatch], size: int):
@@ -67,17 +71,18 @@ def _edges(batches: Iterator[pa.RecordBatch], size: int):
     signed = lambda x: pa.array(x.view(np.int64))
     for batch in slices(batches):
         words = Words(batch["text"])
-        hashes = words.hashes()
+        hashes, (joined, start, end) = words.hashes(), words.joined()
         for doc_id, ranges, lo, hi in zip(batch["doc_id"].to_pylist(), batch["ranges"].to_pylist(), words.bounds[:-1], words.bounds[1:]):
             own = hashes[lo:hi]
             if len(own) < size:
                 continue
-            windows, other, ends = window_hashes(own, size), window_hashes(_second(own), size), window_hashes(own, size - 1)
+            ends = window_hashes(own, size - 1)
             # rows that repeat a doc_id may differ in text, and so in their windows
-            spans = [np.arange(r["lo"], min(r["hi"], len(windows))) for r in ranges]
+            spans = [np.arange(r["lo"], min(r["hi"], len(own) - size + 1)) for r in ranges]
             at = np.unique(np.concatenate(spans)) if spans else np.zeros(0, np.int64)
+            halves = _digests(joined, start[lo:hi], end[lo:hi], at, size)
             yield pa.RecordBatch.from_arrays(
-                [signed(windows[at]), signed(other[at]), signed(ends[at]), signed(ends[at + 1]), pa.array(np.full(len(at), doc_id, np.int64)), pa.array(at.astype(np.int32))],
+                [pa.array(halves[:, 0]), pa.array(halves[:, 1]), signed(ends[at]), signed(ends[at + 1]), pa.array(np.full(len(at), doc_id, np.int64)), pa.array(at.astype(np.int32))],
                 ["h", "check", "u", "v", "doc_id", "at"],
             )
 
