@@ -163,5 +163,85 @@ FROM forms f JOIN chains c ON c.word = f.word JOIN forms r ON r.word = c.root AN
 """
 
 
+OP4 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+usable AS (
+  SELECT * FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(v, lambda x: x * x)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.95
+),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT r.vec_id, (SELECT count(*) FROM links l WHERE l.a = r.vec_id) AS n_links,
+  min(other) AS component_id, min(other) = r.vec_id AS kept
+FROM reached r GROUP BY r.vec_id
+"""
+
+OP9 = """
+WITH whole AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM whole),
+windows AS (
+  SELECT doc_id, word, i, CASE WHEN count(*) OVER ahead = 13 THEN sha256(string_agg(word, ' ') OVER ahead) END AS h
+  FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+),
+firsts AS (SELECT h, min(doc_id) AS first FROM windows WHERE h IS NOT NULL GROUP BY h),
+seen AS (
+  SELECT w.doc_id, word, i, coalesce(first < w.doc_id, FALSE) AS again FROM windows w LEFT JOIN firsts f ON f.h = w.h
+),
+covered AS (
+  SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM seen
+)
+SELECT d.doc_id, count(word) AS n_words, count(word) FILTER (WHERE gone) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM whole d LEFT JOIN covered c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+# The leftmost match of a pattern is the first place where its text stands: there the pattern would match, too.
+OP10 = """
+WITH RECURSIVE kinds(rank, kind, pattern, least) AS (VALUES
+  (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+  (1, 'access', '(AKIA[A-Z0-9]+)', 20),
+  (2, 'hex', '([0-9a-f]{24,})', 24)),
+found AS (
+  SELECT doc_id, rank, 0::BIGINT AS start, 0::BIGINT AS stop, text AS rest, '' AS hit FROM documents, kinds WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, rank, stop + strpos(rest, next) - 1, stop + strpos(rest, next) - 1 + length(next),
+    substr(rest, strpos(rest, next) + length(next)), next
+  FROM (SELECT f.doc_id, f.rank, f.stop, f.rest, regexp_extract(f.rest, k.pattern) AS next FROM found f JOIN kinds k ON k.rank = f.rank)
+  WHERE next <> ''
+),
+spans AS (
+  SELECT doc_id, f.rank, kind, start, stop FROM found f JOIN kinds k ON k.rank = f.rank
+  WHERE hit <> '' AND length(regexp_extract(hit, pattern, 1)) >= least
+),
+listed AS (
+  SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+    count(*) FILTER (WHERE rank = 2) AS n_hex,
+    string_agg(kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_conversation_repair": OP11, "op13_spelling_variants": OP13}
+    return {
+        "op4_embedding_near_dedup": OP4,
+        "op9_substring_dedup": OP9,
+        "op10_secret_scans": OP10,
+        "op11_conversation_repair": OP11,
+        "op13_spelling_variants": OP13,
+    }
