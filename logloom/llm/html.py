@@ -1,9 +1,11 @@
 """Text of web pages, laid out as a browser would show it.
 
 A tree builder closes what tags imply (a paragraph before a block, an item before
-the next, cells and rows of a table), so start and end events nest. Hidden
-subtrees (by element, ``hidden`` attribute or inline style) are left out; all
-other text is kept. White space collapses except in preformatted text, blocks
+the next, cells and rows of a table), so start and end events nest. What a
+browser doesn't show is left out: hidden elements, a closed ``dialog``, a closed
+``details`` but for its summary, the ``hidden`` attribute and inline styles, where
+``visibility`` is inherited and may be turned on again inside. All other text is
+kept, that of drawings, formulas and choices, too. White space collapses except in preformatted text, blocks
 stand on lines of their own, list items carry their mark and depth, and cells of
 a table are padded to columns (of up to ``WIDEST`` characters; a longer cell is
 printed whole and only its own row loses alignment).
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 WIDEST = 48
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template noscript title datalist object svg math iframe audio video canvas select".split())
+HIDDEN = set("head script style template noscript title datalist object iframe audio video canvas defs desc metadata annotation".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 BLOCKS = SPACED | set(
     "address article aside body center details dialog dd div dt footer form header html legend li main nav section summary tr td th caption figcaption".split()
@@ -34,7 +36,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SECTIONS = {"thead", "tbody", "tfoot"}
 SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 CELLS = {"table"}
-UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VEILED = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -72,7 +75,7 @@ class _Box:
 class _Renderer(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack, self.counts, self.hidden, self.pre = [], {}, 0, 0
+        self.stack, self.places, self.hidden, self.veiled, self.pre = [], {}, 0, False, 0
         self.boxes, self.tables, self.lists = [_Box()], [], []
 
     # tree building
@@ -81,16 +84,13 @@ class _Renderer(HTMLParser):
         while len(self.stack) > depth:
             self._leave(*self.stack.pop())
 
-    def _innermost(self, tags: set, stop: set) -> int:
-        if not any(self.counts.get(t) for t in tags):
-            return -1
-        for at in range(len(self.stack) - 1, -1, -1):
-            tag = self.stack[at][0]
-            if tag in tags:
-                return at
-            if tag in stop:
-                break
-        return -1
+    def _last(self, tags) -> int:
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=-1)
+
+    def _innermost(self, tags, stop) -> int:
+        """Where the innermost of ``tags`` is open, if none of ``stop`` is within it."""
+        at = self._last(tags)
+        return at if at > self._last(stop) or at >= 0 and self.stack[at][0] in stop and at == self._last(stop) else -1
 
     def handle_starttag(self, tag, attrs):
         if tag == "body" or (tag in BLOCKS and tag != "html"):
@@ -118,12 +118,23 @@ class _Renderer(HTMLParser):
                     self.boxes[-1].end(True)
             return
         given = dict(attrs)
-        unseen = tag in HIDDEN or "hidden" in given or bool(UNSEEN.search(given.get("style") or ""))
-        self.stack.append((tag, unseen))
-        self.counts[tag] = self.counts.get(tag, 0) + 1
+        style = given.get("style") or ""
+        unseen = int(tag in HIDDEN or "hidden" in given or bool(UNSEEN.search(style)))
+        if tag == "dialog" and "open" not in given:
+            unseen = 1
+        if tag == "summary" and not unseen and self.stack and self.stack[-1][3]:
+            unseen = -1  # the summary of a closed details is shown
+        closed = tag == "details" and "open" not in given
+        self.stack.append((tag, unseen, self.veiled, closed))
+        for name in (tag, "#block") if tag in BLOCKS else (tag,):
+            self.places.setdefault(name, []).append(len(self.stack) - 1)
+        veiled = VEILED.findall(style)
+        if veiled:
+            self.veiled = veiled[-1].lower() != "visible"
         self.hidden += unseen
         if not self.hidden:
             self._enter(tag, given)
+        self.hidden += closed
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -133,7 +144,7 @@ class _Renderer(HTMLParser):
             return self.handle_starttag("br", [])
         stop = CELLS if tag not in ("table", "body", "html") else set()
         if tag not in BLOCKS:  # an inline end does not close blocks
-            stop = BLOCKS
+            stop = ("#block",)
         at = self._innermost({tag}, stop)
         if at >= 0:
             self._close_to(at)
@@ -158,14 +169,18 @@ class _Renderer(HTMLParser):
                 kind = self.lists[-1] if self.lists else ["ul", 1]
                 mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
                 kind[1] += 1
-                box.text("  " * min(max(len(self.lists) - 1, 0), 8) + mark)
+                if not self.veiled:
+                    box.text("  " * min(max(len(self.lists) - 1, 0), 8) + mark)
             elif tag == "pre":
                 self.pre += 1
 
-    def _leave(self, tag, unseen):
-        self.counts[tag] -= 1
+    def _leave(self, tag, unseen, veiled, closed):
+        for name in (tag, "#block") if tag in BLOCKS else (tag,):
+            self.places[name].pop()
+        self.hidden -= closed
         shown = not self.hidden
         self.hidden -= unseen
+        self.veiled = veiled
         if not shown:
             return
         box = self.boxes[-1]
@@ -187,7 +202,7 @@ class _Renderer(HTMLParser):
                 self.pre -= 1
 
     def handle_data(self, data):
-        if self.hidden:
+        if self.hidden or self.veiled:
             return
         box = self.boxes[-1]
         if self.pre:

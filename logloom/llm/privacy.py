@@ -33,12 +33,17 @@ MALE = ("Mr", "Mister", "Herr", "Monsieur", "Sr", "Señor", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Sra", "Señora", "Госпожа")
 
 _TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
+# A date in figures, year first or last, is no phone number.
+_DATE = "|".join(
+    rf"\d{{4}}{c}\d{{1,2}}{c}\d{{1,2}}(?!\d)|\d{{1,2}}{c}\d{{1,2}}{c}\d{{4}}(?!\d)|\d{{1,2}}{c}\d{{1,2}}{c}\d{{2}}(?![ .-]?\d)"
+    for c in (r"\.", "-")
+)
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24})"
     r"|(?<![\d.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d.]*\d)"
     r"|(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
     r"|(?<![\d])(?P<card>\d(?:[ -]?\d){12,18})(?!\d)"
-    r"|(?<![\w.])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]\d{2,4}){2,3})(?![\w-])"
+    rf"|(?<![\w.-])(?!{_DATE})(?P<phone>(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})(?:[ .-]\d{{2,4}}){{2,3}})(?![\w-]|\.\d)"
     rf"|\b(?P<title>{_TITLES})\.? (?P<person>[^\W\d_][^\W\d_]{{1,30}}(?: [^\W\d_][^\W\d_]{{1,30}})?)"
 )
 # First and last letter of the alphabets that surrogates are made of.

@@ -1,9 +1,11 @@
 """Language, decontamination, pages, personal data, shards and the pipeline."""
 
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import pytest
 from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -181,3 +183,44 @@ def test_stages_on_odd_rows(spark):
             assert out.columns == docs.columns and out.count() <= rows.count()
     secrets = corpus_pipeline.STAGES[3][1](spark, docs, SF_DIR).collect()
     assert sorted(str(r.text) for r in secrets) == ["", "None", "[secret] the", "[secret] the", "the and"]
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>a<math><mi>x</mi></math><svg><title>no</title><text>lab</text></svg><select><option>one<option>two</select>", "axlabonetwo"),
+        ("<div style='visibility:hidden'>no<b style='color:red; visibility: Visible'>yes</b><ul><li>no</ul></div>", "yes"),
+        ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+        ("<details>no<summary>sum <b>x</b></summary>no<p>no</p></details>after", "sum x\nafter"),
+        ("<details open><summary>s</summary>yes</details>", "s\nyes"),
+        ("<details><details><summary>no</summary></details><summary>yes</summary></details>", "yes"),
+        ("<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d"),
+        ("<p style='background-display:none'>kept<p style='display:none'>no", "kept"),
+    ],
+)
+def test_visible_text(html, text):
+    assert page_text(html) == text
+
+
+def test_pages_take_linear_time():
+    def taken(n):
+        began = time.process_time()
+        page_text("<div><table>" + "<b>" * n + "</div>" * n)
+        return time.process_time() - began
+
+    assert taken(20_000) < 8 * max(taken(5_000), 0.02)
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("2024-05-17 12", []),
+        ("on 17.05.2024 12 30", []),
+        ("10-20-30", []),
+        ("+49 30 1234 567", ["+49 30 1234 567"]),
+        ("01 23 45 67", ["01 23 45 67"]),
+        ("+1 (843) 555-7672 170.106.47.21", ["+1 (843) 555-7672", "170.106.47.21"]),
+    ],
+)
+def test_dates_are_no_phone_numbers(text, found):
+    assert [text[a:b] for a, b, *_ in entities(text)] == found
