@@ -75,46 +75,38 @@ def blobs(docs: DataFrame) -> DataFrame:
     return texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
 
 
-def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def _current(rules: tuple[Rule, ...]) -> F.Column:
+    return F.expr(" OR ".join(f"(rule = '{r.name}' AND version = {r.version})" for r in rules))
+
+
+def scan_unseen(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """New rows of the ledger: pairs of blob and rule version not in ``ledger``.
 
-    Append them to the ledger's table, also those without spans.
+    Append them to the ledger's table, also those without spans. Each blob is read
+    once for all rules; what the ledger knows of it says which of them are tried.
     """
-    found = None
-    for rank, rule in enumerate(rules):
-        todo = blobs(docs)
-        if ledger is not None:
-            seen = ledger.where((F.col("rule") == rule.name) & (F.col("version") == rule.version)).select("blob").distinct()
-            todo = todo.join(seen, "blob", "left_anti")
-        spans = _spans(rule, rank)
-        part = todo.select("blob", "text").dropDuplicates(["blob"]).select(
-            "blob", F.lit(rule.name).alias("rule"), F.lit(rule.version).alias("version"), spans.alias("spans")
+    seen = ledger.where(_current(rules)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    todo = blobs(docs).select("blob", "text").dropDuplicates(["blob"]).join(seen, "blob", "left")
+    pairs = F.array(*(
+        F.when(
+            ~F.coalesce(F.array_contains("seen", rule.name), F.lit(False)),
+            F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.version).alias("version"), _spans(rule, rank).alias("spans")),
         )
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _scan_all(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """As ``scan_unseen`` where nothing is seen: each blob is read once for all rules."""
-    one = blobs(docs).select("blob", "text").dropDuplicates(["blob"])
-    rows = F.array(*(
-        F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), _spans(r, n).alias("spans"))
-        for n, r in enumerate(rules)
+        for rank, rule in enumerate(rules)
     ))
-    return one.select("blob", F.inline(rows))
+    return todo.select("blob", F.inline(F.array_compact(pairs)))
 
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """``(findings, new)``: (doc_id, spans) of every row, and the ledger's new rows.
 
-    ``findings`` holds what the ledger knew and what is new, under ``rules``.
+    ``findings`` holds what the ledger knew and what is new, under ``rules``. A
+    first scan begins with an empty ledger.
     """
-    new = _scan_all(docs, rules) if ledger is None else scan_unseen(docs, ledger, rules)
-    new = stored(new, "ledger")
-    known = new
-    if ledger is not None:
-        current = F.expr(" OR ".join(f"(rule = '{r.name}' AND version = {r.version})" for r in rules))
-        known = new.unionByName(ledger.where(current).select("blob", "rule", "version", "spans"))
+    if ledger is None:
+        ledger = docs.sparkSession.createDataFrame([], LEDGER)
+    new = stored(scan_unseen(docs, ledger, rules), "ledger")
+    known = new.unionByName(ledger.where(_current(rules)).select("blob", "rule", "version", "spans"))
     hits = (
         known.where("size(spans) > 0").groupBy("blob", "rule", "version").agg(F.first("spans").alias("spans"))
         .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from conftest import SF_DIR
 
 from logloom.llm import entry
 from logloom.llm.embeddings import near_duplicate_embeddings
-from logloom.llm.secrets import redact_secrets, scan_secrets
+from logloom.llm.secrets import RULES, redact_secrets, scan_secrets, scan_unseen
 from logloom.llm.simhash import near_duplicates
 from logloom.llm.substrings import remove_repeats
 
@@ -144,6 +145,11 @@ def test_secrets_odd_rows(spark):
     assert clean[4] == "[secret]'é PASSWD:short [secret]" and clean[1] is None and clean[3] == texts[2][1]
     assert clean[None] == "[secret]" and redact_secrets(more).columns == more.columns and redact_secrets(more).count() == 9
     assert scan_secrets(docs.limit(0))[0].count() == 0
+    # a new version of a rule is tried on every blob, and no other rule again
+    newer = (RULES[0], replace(RULES[1], version=2), RULES[2])
+    unseen = scan_unseen(more, new.unionByName(added), newer)
+    assert {(r.rule, r.version) for r in unseen.collect()} == {("access", 2)}
+    assert unseen.count() == more.selectExpr("coalesce(text, '')").distinct().count()
 
 
 def brute_vectors(vectors, least):
