@@ -107,7 +107,7 @@ texts AS (
   FROM lines WHERE edit <> 'D' GROUP BY conv_id
 )
 SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
-  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(e.best.cost, 0) AS BIGINT) AS cost,
   coalesce(e.best.audit, '') AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o
   LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
