@@ -393,6 +393,11 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN event_id % 2 = 0 THEN printf('%.3f', request_time) END AS total,
             CASE WHEN event_id % 2 = 0 THEN CAST(status AS VARCHAR) END AS code
           FROM ({_LATEST}) JOIN (SELECT event_id, request_time FROM ok) USING (event_id)""",
+        "index_with_rejects": _BASE
+        + """SELECT 'nginx-' || strftime(wall, '%Y.%m.%d') AS place, request_id AS text, CAST(NULL AS VARCHAR) AS errors
+          FROM ok WHERE request_id IS NOT NULL AND epoch >= epoch(TIMESTAMP '2024-01-05 00:00:00')
+          UNION ALL
+          SELECT 'all', value, coalesce(problem, 'request_id') FROM marked WHERE problem IS NOT NULL OR request_id IS NULL""",
         "text_scan": _BASE + "SELECT request_id, epoch, host, status FROM ok",
         "invalid_bytes": """SELECT 'e' || CAST(event_id AS VARCHAR) AS request_id,
           'h' || CASE WHEN event_id % 3 = 2 THEN 'é' ELSE chr(65533) END || CAST(user_id % 5 AS VARCHAR) AS host FROM events""",

@@ -20,6 +20,7 @@ from logloom.operators.documents import (
     json_lines,
     latest_documents,
     read_documents,
+    read_letters,
     read_versions,
     route_index,
     stream_versions,
@@ -31,6 +32,7 @@ from logloom.operators.filters import time_range
 from logloom.operators.geo import geoip_join
 from logloom.operators.parse import accepted, parse_access_log, rejected
 from logloom.operators.stats import http_stats, metric_lines, traffic_rows
+from logloom.plans.jobs import index_log
 from logloom.schema import LONG_FIELDS, ensure_table, load_schema, refresh_table
 from logloom.shared import shared_folder
 from logloom.sinks import read_metrics
@@ -390,6 +392,16 @@ def declared_table(spark, sf_dir):
     return _key_columns(latest_documents(refresh_table(spark, name)))
 
 
+def index_with_rejects(spark, sf_dir):
+    """Documents and dead letters that one job has written together."""
+    path = f"{shared_folder(spark, 'documents')}/table"
+    text = lines(spark, sf_dir).withColumn("_seq", F.col("event_id"))
+    index_log(spark, text, path, "all", rejects=True, hostname=HOSTNAME, min_timestamp=RANGE[0])
+    kept = read_versions(spark, path).selectExpr("_index AS place", "_id AS text", "CAST(NULL AS STRING) AS errors")
+    letters = read_letters(spark, path).selectExpr("batch AS place", "value AS text", "array_join(errors, ',') AS errors")
+    return kept.unionByName(letters)
+
+
 def extension_documents(spark, sf_dir):
     """What extensions add, through table, settled read and JSON lines; half of the documents have none."""
     path, kept = f"{shared_folder(spark, 'documents')}/table", records(spark, sf_dir)
@@ -492,10 +504,8 @@ def latency_bins(spark, sf_dir):
 
 def _stats(metric: str | None, interval: int) -> Query:
     def run(spark, sf_dir):
-        stats = http_stats(records(spark, sf_dir), interval)
-        if metric is not None:
-            stats = stats.where(F.col("metric") == metric)
-        return stats.select(
+        chosen = {} if metric is None else {"metrics": (metric,)}
+        return http_stats(records(spark, sf_dir), interval, **chosen).select(
             "bucket",
             "metric",
             "agg",
@@ -676,6 +686,7 @@ def queries() -> dict[str, Query]:
         "compacted_dates": compacted_dates,
         "declared_table": declared_table,
         "extension_documents": extension_documents,
+        "index_with_rejects": index_with_rejects,
         "text_scan": text_scan,
         "invalid_bytes": invalid_bytes,
         "timestamp_parser": timestamp_parser,

@@ -8,6 +8,7 @@ from logloom.operators.documents import (
     json_lines,
     latest_documents,
     read_documents,
+    read_letters,
     read_versions,
     route_index,
     stream_versions,
@@ -66,6 +67,7 @@ __all__ = [
     "parse_access_log",
     "read_access_log",
     "read_documents",
+    "read_letters",
     "read_metrics",
     "read_versions",
     "refresh_table",

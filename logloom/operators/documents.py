@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.functions.time import iso_text, strftime
+from logloom.functions.time import as_instant, iso_text, strftime
 from logloom.schema import DOCUMENT_SCHEMA, ENRICHED_FIELDS, keep_schema, kept_schema
 from logloom.shared import delete_folder, list_folders
 
@@ -25,6 +25,9 @@ DEFAULT_TYPE = "access_log"
 
 #: Columns that steer a document and are no part of its body as such.
 CONTROL = ("_id", "_index", "_seq", "batch")
+#: Where dead letters lie that are written together with documents, and what they consist of.
+REJECTED = "_rejected"
+LETTER = ("_line", "_errors")
 #: Begins the names of batches that compaction has written.
 COMPACTED = "compacted-"
 # Fixed value: the folder name of a partition value that is NULL.
@@ -76,6 +79,29 @@ def to_documents(records: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFram
     )
 
 
+def to_documents_and_letters(
+    records: DataFrame, pattern: str = DEFAULT_PATTERN, min_timestamp=None, max_timestamp=None
+) -> DataFrame:
+    """Documents of the records of ``parse_access_log`` and letters of the bad ones, in one plan.
+
+    Letters have the ``_index`` of ``REJECTED``, their text and the unreadable fields,
+    which a document has not. A record without a key is a letter. The time
+    range is tested on documents only.
+    """
+    good = "(_good AND request_id IS NOT NULL)"
+    routed = route_index(records, pattern)
+    if min_timestamp is not None:
+        routed = routed.where(F.expr(f"NOT {good}") | (F.col("`@timestamp`") >= as_instant(min_timestamp)))
+    if max_timestamp is not None:
+        routed = routed.where(F.expr(f"NOT {good}") | (F.col("`@timestamp`") < as_instant(max_timestamp)))
+    body = [f"IF({good}, `{c}`, NULL) AS `{c}`" for c in routed.columns if c not in ("_index", "_good", "request_id", *LETTER)]
+    return routed.selectExpr(
+        f"IF({good}, request_id, NULL) AS _id", *body, f"IF({good}, _index, '{REJECTED}') AS _index",
+        f"IF({good}, NULL, _line) AS _line",
+        f"CASE WHEN NOT _good THEN _errors WHEN request_id IS NULL THEN array('request_id') END AS _errors",
+    )
+
+
 def source_json(documents: DataFrame) -> Column:
     """The document body as one flat JSON object.
 
@@ -218,7 +244,7 @@ def _folder_name(spark: SparkSession, value: str) -> str:
 def table_schema(documents: DataFrame | T.StructType = DOCUMENT_SCHEMA) -> T.StructType:
     """Schema of a document table: partition columns last, as text."""
     schema = documents if isinstance(documents, T.StructType) else documents.schema
-    body = [f for f in schema.fields if f.name not in ("_index", "batch")]
+    body = [f for f in schema.fields if f.name not in ("_index", "batch", *LETTER)]
     return T.StructType(
         body + [T.StructField("_index", T.StringType()), T.StructField("batch", T.StringType())]
     )
@@ -264,9 +290,18 @@ def read_versions(
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    tests = [F.col("_index") >= low] if low else []
+    tests = [F.expr(f"_index IS NULL OR _index <> '{REJECTED}'")]
+    tests += [F.col("_index") >= low] if low else []
     tests += [F.col("_index") <= high] if high else []
-    return versions.where(reduce(and_, tests)) if tests else versions
+    return versions.where(reduce(and_, tests))
+
+
+def read_letters(spark: SparkSession, path: str) -> DataFrame:
+    """Text, unreadable fields and batch of the dead letters that lie with the documents of a table."""
+    schema = "_line string, _errors array<string>, batch string"
+    places = _folders(spark, path, [REJECTED])
+    letters = spark.read.schema(schema).parquet(*places) if places else spark.createDataFrame([], schema)
+    return letters.select(F.col("_line").alias("value"), F.col("_errors").alias("errors"), "batch")
 
 
 def read_documents(
@@ -296,7 +331,7 @@ def stream_versions(
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).where(~F.col("batch").startswith(COMPACTED))
+    return reader.parquet(path).where(f"_index <> '{REJECTED}' AND NOT startswith(batch, '{COMPACTED}')")
 
 
 def upsert_documents(
@@ -328,7 +363,7 @@ def dates_to_compact(spark: SparkSession, path: str, least: int = 2) -> list[str
     for folder in _folders(spark, path, None, "*"):
         date = unquote(folder.split("/")[-2].removeprefix("_index="))
         found[date] = found.get(date, 0) + 1
-    return sorted(date for date, n in found.items() if n >= least)
+    return sorted(date for date, n in found.items() if n >= least and date != REJECTED)
 
 
 def compact_dates(spark: SparkSession, path: str, dates: Iterable[str], keep_sources: bool = False) -> list[str]:

@@ -71,7 +71,7 @@ class RangeLookup:
     one row before the shuffle. The records are then joined by address with at
     most one row each. That join is a broadcast if few addresses were found, and
     adaptive execution splits an address with very many records; records without an address
-    are spread.
+    are spread. The records are read twice, so in batch give it a written table.
     """
 
     def __init__(self, ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, bucket_bits: int | None = None):

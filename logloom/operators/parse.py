@@ -66,7 +66,7 @@ def decode_lines(
     checked = parsed.selectExpr(
         *carried,
         "coalesce(size(_objects) = 1 AND get(_objects, 0) IS NOT NULL"
-        " AND endswith(btrim(value, ' \\t\\n\\r'), '}'), false) AS _decoded",
+        " AND (endswith(value, '}') OR endswith(btrim(value, ' \\t\\n\\r'), '}')), false) AS _decoded",
         "_objects",
     )
     decoded = checked.selectExpr(

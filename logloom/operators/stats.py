@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,6 +17,7 @@ DEFAULT_INTERVAL = 10
 # Fixed value: how many intervals a closed one is remembered, to tell late records from new ones.
 REMEMBERED = 100
 
+METRICS = ("request_time", "upstream_response_time", "bytes_sent")
 _DIMS = ("host", "request_path_1", "request_path_2", "status")
 _GROUP = ("metric", *_DIMS, "cache", "bin")
 _NONE = "CAST(NULL AS STRING)"
@@ -47,16 +48,16 @@ def arrivals(records: DataFrame, interval: int = DEFAULT_INTERVAL) -> DataFrame:
     return counted.selectExpr(f"{bucket_start('`@timestamp`', interval)} AS bucket")
 
 
-def _spread(rows: DataFrame, *key: str) -> DataFrame:
-    """Each record under its three metrics: its time ``v``, or its bytes ``b``."""
-    return rows.selectExpr(
-        *key,
-        *_DIMS,
-        f"""stack(3,
-          'request_time', upstream_cache_status, {latency_bin('request_time')}, request_time, CAST(NULL AS BIGINT),
-          'upstream_response_time', {_NONE}, {latency_bin('upstream_last')}, upstream_last, CAST(NULL AS BIGINT),
-          'bytes_sent', {_NONE}, {_NONE}, CAST(bytes_sent AS DOUBLE), bytes_sent) AS (metric, cache, bin, v, b)""",
-    ).where("metric <> 'upstream_response_time' OR v IS NOT NULL")
+def _spread(rows: DataFrame, *key: str, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """Each record under its metrics: its time ``v``, or its bytes ``b``."""
+    parts = {
+        "request_time": f"upstream_cache_status, {latency_bin('request_time')}, request_time, CAST(NULL AS BIGINT)",
+        "upstream_response_time": f"{_NONE}, {latency_bin('upstream_last')}, upstream_last, CAST(NULL AS BIGINT)",
+        "bytes_sent": f"{_NONE}, {_NONE}, CAST(bytes_sent AS DOUBLE), bytes_sent",
+    }
+    chosen = ", ".join(f"'{m}', {parts[m]}" for m in metrics)
+    spread = rows.selectExpr(*key, *_DIMS, f"stack({len(metrics)}, {chosen}) AS (metric, cache, bin, v, b)")
+    return spread.where("metric <> 'upstream_response_time' OR v IS NOT NULL")
 
 
 def _values(groups: DataFrame, bucket: str) -> DataFrame:
@@ -76,7 +77,10 @@ def _values(groups: DataFrame, bucket: str) -> DataFrame:
 
 
 def http_stats(
-    records: DataFrame, interval: int = DEFAULT_INTERVAL, delay: str = "5 seconds"
+    records: DataFrame,
+    interval: int = DEFAULT_INTERVAL,
+    delay: str = "5 seconds",
+    metrics: Sequence[str] = METRICS,
 ) -> DataFrame:
     """Sums and counts per ``interval`` seconds, one row per metric value.
 
@@ -85,7 +89,7 @@ def http_stats(
     same without the cache state, ``bytes_sent`` by host, path and status.
     ``whole`` is the exact sum of bytes; it is NULL where 64 bits are too few.
 
-    Each record is spread over the three metrics and all are summed by one
+    Each record is spread over the ``metrics`` asked for and all are summed by one
     aggregation: one pass over the input, summed before the only shuffle. On a
     stream an interval is emitted once the watermark, ``delay`` behind the
     newest record that counts, has passed its end; later records are dropped.
@@ -98,7 +102,7 @@ def http_stats(
     else:
         key = F.expr(f"{bucket_start('`@timestamp`', interval)} AS bucket")
         bucket = "bucket"
-    groups = _spread(rows, "`@timestamp`").groupBy(key, *_GROUP).agg(
+    groups = _spread(rows, "`@timestamp`", metrics=metrics).groupBy(key, *_GROUP).agg(
         F.expr("coalesce(sum(v), 0D) AS total"),
         F.expr("CAST(count(v) AS DOUBLE) AS n"),
         F.expr("IF(count(b) = 0, 0L, try_sum(b)) AS whole"),

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logloom.operators.documents import (
     DEFAULT_PATTERN,
     DEFAULT_TYPE,
+    REJECTED,
     append_documents,
     to_documents,
+    to_documents_and_letters,
 )
 from logloom.operators.extensions import Extension, apply_extensions
 from logloom.operators.filters import time_range
@@ -40,23 +43,54 @@ def records_in_range(
     return time_range(records, min_timestamp, max_timestamp)
 
 
+def indexed(
+    lines: DataFrame,
+    pattern: str = DEFAULT_PATTERN,
+    ranges: DataFrame | None = None,
+    extensions: Iterable[str | Extension] = (),
+    min_timestamp=None,
+    max_timestamp=None,
+    **parse_options,
+) -> DataFrame:
+    """Documents and dead letters of lines, for one write.
+
+    Without extensions and lookup the lines are decoded once; with them the letters
+    are a second and lighter branch, as an extension sees only good records.
+    """
+    extensions = list(extensions)
+    if not extensions and ranges is None:
+        records = parse_access_log(lines, **parse_options)
+        return to_documents_and_letters(records, pattern, min_timestamp, max_timestamp)
+    documents = to_documents(
+        records_in_range(lines, ranges, extensions, min_timestamp, max_timestamp, **parse_options), pattern
+    )
+    letters = rejected(parse_access_log(lines, **parse_options), ("request_id",)).select(
+        F.lit(REJECTED).alias("_index"), F.col("value").alias("_line"), F.col("errors").alias("_errors")
+    )
+    return documents.unionByName(letters, allowMissingColumns=True)
+
+
 def index_log(
     spark: SparkSession,
     lines: DataFrame,
     path: str,
     batch: str,
-    rejects: str | None = None,
+    rejects: str | bool | None = None,
     pattern: str = DEFAULT_PATTERN,
     **options,
 ) -> None:
-    """Write the documents of a log to a table, without a shuffle.
+    """Write the documents of a log to a table.
 
-    Dead letters, if wanted, are a second and lighter pass: it decodes and
-    casts, but touches no URI, query string or unknown field.
+    Dead letters, if wanted, go with them (``rejects=True``; ``read_letters``), or to a
+    folder of JSON lines of their own. The latter is a second and lighter pass: it
+    decodes and casts, but touches no URI, query string or unknown field.
     """
+    if rejects is True:
+        append_documents(indexed(lines, pattern, **options), path, batch)
+        return
     documents = to_documents(records_in_range(lines, **options), pattern)
     append_documents(documents, path, batch)
-    if rejects is not None:
+    if rejects:
         parse_options = {
             k: v
             for k, v in options.items()

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _local_root() -> str:
+    """A temporary folder that goes with this process."""
+    root = tempfile.mkdtemp(prefix="logloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the one the cluster names for checkpoints.
 
@@ -18,7 +29,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="logloom-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -114,10 +114,13 @@ def _settled_start(spark: SparkSession, checkpoint: str) -> str:
     """The start time kept beside a checkpoint, written on first use."""
     place = f"{checkpoint.rstrip('/')}-start"
     try:
-        return spark.read.text(place).first()[0]
+        kept = spark.read.text(place).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    now = dt.datetime.now(dt.timezone.utc).isoformat()
-    spark.createDataFrame([(now,)], "value string").write.text(place)
-    return now
+        kept = None
+    if kept is None:  # nothing there, or a write that was cut off
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        spark.createDataFrame([(now,)], "value string").write.mode("overwrite").text(place)
+        return now
+    return kept[0]

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from logloom.operators.documents import DEFAULT_PATTERN, append_documents, to_documents
+from logloom.operators.documents import (
+    DEFAULT_PATTERN,
+    REJECTED,
+    append_documents,
+    to_documents,
+    to_documents_and_letters,
+)
 from logloom.operators.extensions import Extension, apply_extensions
 from logloom.operators.filters import time_range
 from logloom.operators.geo import BROADCAST_BYTES, RangeLookup
@@ -153,7 +159,7 @@ def stream_upsert(
     lines: DataFrame,
     path: str,
     checkpoint: str,
-    rejects: str | None = None,
+    rejects: str | bool | None = None,
     pattern: str = DEFAULT_PATTERN,
     extensions: Iterable[str | Extension] = (),
     min_timestamp=None,
@@ -168,6 +174,10 @@ def stream_upsert(
     A replayed micro-batch replaces its own folder, named by query and number, and readers settle repeated
     deliveries, so restarts and duplicates leave one document per key. Places are
     looked up in ``ranges``, which are measured once for all micro-batches.
+
+    Dead letters go to the table with the documents (``rejects=True``; ``read_letters``):
+    without extensions and lookup that decodes a micro-batch once and keeps nothing. With a
+    folder of their own the records of the micro-batch are cached for both outputs.
     """
     extensions = list(extensions)
     lookup = RangeLookup(ranges, broadcast_bytes) if ranges is not None else None
@@ -176,7 +186,11 @@ def stream_upsert(
         name = _batch_name(batch, number)
         numbered = number_lines(batch) if "line" in _sequence_fields(batch) else batch
         records = parse_access_log(numbered, **parse_options)
-        if rejects is not None:
+        if rejects is True and not extensions and lookup is None:
+            both = to_documents_and_letters(records, pattern, min_timestamp, max_timestamp)
+            append_documents(both, path, name, stale=False)
+            return
+        if rejects:
             # Both outputs read the micro-batch, which the trigger bounds.
             records = records.persist()
         try:
@@ -185,12 +199,15 @@ def stream_upsert(
                 kept = lookup.join(kept)
             kept = apply_extensions(kept, extensions)
             kept = time_range(kept, min_timestamp, max_timestamp)
-            append_documents(to_documents(kept, pattern), path, name, stale=False)
-            if rejects is not None:
-                letters = rejected(records, required=("request_id",))
+            documents, letters = to_documents(kept, pattern), rejected(records, required=("request_id",))
+            if rejects is True:
+                letters = letters.selectExpr(f"'{REJECTED}' AS _index", "value AS _line", "errors AS _errors")
+                documents = documents.unionByName(letters, allowMissingColumns=True)
+            append_documents(documents, path, name, stale=False)
+            if rejects and rejects is not True:
                 write_rejected(letters.select("value", "errors"), rejects, name)
         finally:
-            if rejects is not None:
+            if rejects:
                 records.unpersist()
 
     return _start(lines, handle, checkpoint, trigger)

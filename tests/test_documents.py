@@ -16,13 +16,14 @@ from logloom.operators.documents import (
     json_lines,
     latest_documents,
     read_documents,
+    read_letters,
     read_versions,
     to_documents,
     to_envelope,
     upsert_documents,
 )
 from logloom.operators.parse import accepted, parse_access_log
-from logloom.plans.jobs import dump_log, index_log, measure_log, records_in_range
+from logloom.plans.jobs import dump_log, index_log, indexed, measure_log, records_in_range
 from logloom.schema import DOCUMENT_SCHEMA, ensure_table, load_schema, refresh_table
 from logloom.sources.access_log import read_access_log
 
@@ -257,6 +258,32 @@ def test_whole_jobs(spark, tmp_path):
     spark.sql("DROP TABLE docs_b")
 
 
+def test_documents_and_letters_in_one_write(spark, lines, tmp_path):
+    rows = [record(request_id=f"r{d}", timestamp=f"2024-01-0{d}T12:00:00Z") for d in range(1, 5)]
+    source = lines(*rows, "{bad", record(request_id=None), record(status="x", request_id="s"), record(timestamp="-"))
+    bad = {("{bad", ("json",)), (json.dumps(record(request_id=None)), ("request_id",)),
+           (json.dumps(record(status="x", request_id="s")), ("status",)), (json.dumps(record(timestamp="-")), ("timestamp",))}
+    bounds = {"min_timestamp": "2024-01-02T00:00:00Z", "max_timestamp": "2024-01-04T00:00:00Z"}
+
+    def mark(df):
+        return df.withColumn("slow", F.lit(True))
+
+    for n, extensions in enumerate(([], [mark])):
+        path = str(tmp_path / f"docs{n}")
+        plan = indexed(source, extensions=extensions, **bounds)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan") == 1 + n
+        index_log(spark, source, path, "1", rejects=True, extensions=extensions, **bounds)
+        index_log(spark, source, path, "1", rejects=True, extensions=extensions, **bounds)
+        assert {r._id for r in read_documents(spark, path).collect()} == {"r2", "r3"}
+        letters = read_letters(spark, path).collect()
+        assert {(r.value, tuple(r.errors)) for r in letters} == bad and len(letters) == 4
+        index_log(spark, source, path, "2", rejects=True, extensions=extensions)
+        assert read_versions(spark, path).count() == 6 and read_letters(spark, path).count() == 8
+        assert dates_to_compact(spark, path) == ["nginx-2024.01.02", "nginx-2024.01.03"]
+        assert not {"_line", "_errors"} & set(read_documents(spark, path).columns)
+    assert read_letters(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_sequence_is_required_to_be_comparable(lines):
     with pytest.raises(Exception):
         latest_documents(documents(lines(record())), sequence="query").collect()
