@@ -58,12 +58,19 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: i
 
 
 class _Lengths:
-    """Available lengths with indexes of single lengths and of pair sums."""
+    """Available lengths with indexes of single lengths, pair sums and triple sums.
+
+    ``pairs`` counts the pairs of available lengths for each sum. ``triples`` does so for
+    ordered triples, and takes one piece of a length for any number of them: 0 proves
+    that no triple has the sum. Both follow each change of availability.
+    """
 
     def __init__(self, counts: np.ndarray):
         self.left = counts.astype(np.int64).copy()
         self.size = len(counts) - 1
-        self.pairs = np.zeros(self.size + 1, np.int64)  # pair sums -> pairs of available lengths
+        self.pairs = np.zeros(self.size + 1, np.int64)
+        self.doubles = np.zeros(self.size + 1, np.int64)  # ordered pairs, as ``triples``
+        self.triples = np.zeros(self.size + 1, np.int64)
         self.one = np.zeros(self.size + 1, bool)
         self.two = np.zeros(self.size + 1, bool)
         for n in np.flatnonzero(self.left):
@@ -74,6 +81,14 @@ class _Lengths:
         one, two, half = self.left[n] > 0, self.left[n] > 1, 2 * n <= self.size
         if one != self.one[n]:
             step = 1 if one else -1
+            # (lengths + step * n) to the third and second power, term by term
+            self.triples[n:] += 3 * step * self.doubles[: self.size + 1 - n]
+            if half:
+                self.triples[2 * n :] += 3 * self.one[: self.size + 1 - 2 * n]
+                self.doubles[2 * n] += 1
+            if 3 * n <= self.size:
+                self.triples[3 * n] += step
+            self.doubles[n:] += 2 * step * self.one[: self.size + 1 - n]
             self.one[n] = False
             self.pairs[n:] += step * self.one[: self.size + 1 - n]
             self.one[n] = one
@@ -110,6 +125,8 @@ class _Lengths:
         return []
 
     def triple(self, gap: int, taken: Counter) -> list[int]:
+        if not self.triples[gap]:
+            return []
         first = np.arange(gap - 2, 0, -1)
         for a in first[self.one[first] & (self.pairs[gap - first] > 0)]:
             a = int(a)

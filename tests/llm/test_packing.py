@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from logloom.llm.entry import op1_best_fit_packing
-from logloom.llm.packing import pack_documents, packing_plan
+from logloom.llm.packing import _Lengths, pack_documents, packing_plan
 from logloom.llm.tokens import token_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +77,21 @@ def test_plan_uses_every_piece_once(lengths, top):
     assert (placed == counts).all()
 
 
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(0, 2)), max_size=60))
+def test_indexes_follow_every_change(changes):
+    lengths = _Lengths(np.zeros(31, int))
+    for n, count in changes:
+        lengths.left[n] = count
+        lengths._mark(n)
+    there = [n for n in range(1, 31) if lengths.left[n]]
+    for gap in range(31):
+        assert lengths.doubles[gap] == sum(a + b == gap for a in there for b in there)
+        assert lengths.triples[gap] == sum(a + b + c == gap for a in there for b in there for c in there)
+        pairs = sum(a + b == gap and (a < b or lengths.left[a] > 1) for a in there for b in there if a <= b)
+        assert lengths.pairs[gap] == pairs
+
+
 def test_exact_complements_are_found():
     counts = np.zeros(101, int)
     for n in (70, 20, 10, 60, 40, 55, 30, 15, 50, 25, 13, 12):
