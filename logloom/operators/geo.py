@@ -72,6 +72,8 @@ class RangeLookup:
     most one row each. That join is a broadcast if few addresses were found, and
     adaptive execution splits an address with very many records; records without an address
     are spread. The records are read twice, so in batch give it a written table.
+    With ``few`` records, as in a micro-batch, they are read once more to see which buckets
+    occur, and only their ranges are shuffled.
     """
 
     def __init__(self, ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, bucket_bits: int | None = None):
@@ -92,7 +94,7 @@ class RangeLookup:
         rows, coarse, fine = _sizes(self.places, [16, 20]).first()
         return (16, coarse) if rows <= 1 << 18 else (20, fine)
 
-    def join(self, records: DataFrame) -> DataFrame:
+    def join(self, records: DataFrame, few: bool = False) -> DataFrame:
         bits, size = self._measured
         numbered = records.drop(*ENRICHED_FIELDS).withColumn("_address", F.expr(ipv4_number("remote_addr")))
         if size <= self.broadcast_bytes:
@@ -100,7 +102,7 @@ class RangeLookup:
         elif records.isStreaming:
             raise ValueError("a range table beyond broadcast_bytes needs bounded records: look up in each micro-batch")
         else:
-            joined = self._merge_join(numbered)
+            joined = self._merge_join(numbered, few)
         kept = [c for c in records.columns if c not in ENRICHED_FIELDS]
         return joined.select(*[F.col(f"r.`{c}`") for c in kept], *ENRICHED_FIELDS)
 
@@ -114,23 +116,24 @@ class RangeLookup:
         pieces = F.broadcast(self._pieces(bits)).alias("p")
         return records.join(pieces, (F.col("r._bucket") == F.col("p._bucket")) & inside, "left")
 
-    def _merge_join(self, numbered: DataFrame) -> DataFrame:
-        found = self.find(numbered.select("_address")).alias("p")
+    def _merge_join(self, numbered: DataFrame, few: bool) -> DataFrame:
+        found = self.find(numbered.select("_address"), few).alias("p")
         # Records without an address match nothing; by their other columns they go to many tasks.
         spread = [f"`{c}`" for c in ("_seq", "request_id", "remote_addr", "@timestamp") if c in numbered.columns] or ["1"]
         key = f"coalesce(_address, -1L - pmod(xxhash64({', '.join(spread)}), 100000L))"
         records = numbered.withColumn("_key", F.expr(key)).alias("r")
         return records.join(found, F.col("r._key") == F.col("p._address"), "left")
 
-    def find(self, addresses: DataFrame) -> DataFrame:
+    def find(self, addresses: DataFrame, few: bool = False) -> DataFrame:
         """The place of each different ``_address`` that lies in a range."""
         wanted = (
             addresses.where("_address IS NOT NULL").distinct()
             .withColumn("_bucket", _bucket(F.col("_address"), _MERGE_BITS))
         )
-        # At most 2 ** _MERGE_BITS numbers.
-        buckets = F.broadcast(wanted.select("_bucket").distinct())
-        starts = self._pieces(_MERGE_BITS).join(buckets, "_bucket", "left_semi").selectExpr(
+        pieces = self._pieces(_MERGE_BITS)
+        if few:  # at most 2 ** _MERGE_BITS numbers are broadcast
+            pieces = pieces.join(F.broadcast(wanted.select("_bucket").distinct()), "_bucket", "left_semi")
+        starts = pieces.selectExpr(
             "_bucket", f"greatest(lo, _bucket * {1 << (_ADDRESS_BITS - _MERGE_BITS)}L) AS _address",
             "struct(hi, geoip, city, region_name) AS place", "false AS wanted",
         )

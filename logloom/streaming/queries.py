@@ -196,7 +196,7 @@ def stream_upsert(
         try:
             kept = accepted(records)
             if lookup is not None:
-                kept = lookup.join(kept)
+                kept = lookup.join(kept, few=True)
             kept = apply_extensions(kept, extensions)
             kept = time_range(kept, min_timestamp, max_timestamp)
             documents, letters = to_documents(kept, pattern), rejected(records, required=("request_id",))
