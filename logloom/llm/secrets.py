@@ -104,7 +104,8 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[
     first scan begins with an empty ledger.
     """
     if ledger is None:
-        ledger = docs.sparkSession.createDataFrame([], LEDGER)
+        none = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in (f.split(" ", 1) for f in LEDGER.split(", ")))
+        ledger = docs.sparkSession.sql(f"SELECT {none} WHERE false")
     new = stored(scan_unseen(docs, ledger, rules), "ledger")
     known = new.unionByName(ledger.where(_current(rules)).select("blob", "rule", "version", "spans"))
     hits = (
