@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Lines that one task derives and decodes.
+LINES = 250_000
+
 _LINES = """
 SELECT event_id, CASE
   WHEN event_id % 211 = 0 THEN '{{bad'
@@ -78,14 +81,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, least: int) -> int:
+    """How many tasks share the events: ``least``, or more so that none has more than ``LINES``."""
+    return max(least, -(-table(spark, sf_dir, "events").count() // LINES))
+
+
 def events_for_all_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events; spread out when the file has fewer splits than there are
-    cores, as small ones do. A large table is left as it was read."""
-    events = table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
-    return events
+    """The events, dealt evenly over tasks of at most about ``LINES``.
+
+    Splits of the file say nothing of that: a row group is read by one task, however
+    many splits it spans, and a small row becomes a line thirty times its size.
+    """
+    tasks = spread(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    return table(spark, sf_dir, "events").repartition(tasks, "event_id")
 
 
 def access_log_from_events(events: DataFrame) -> DataFrame:

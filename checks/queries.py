@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.lines import access_log_from_events, events_for_all_cores, table
+from checks.lines import access_log_from_events, events_for_all_cores, spread, table
 from logloom.functions.time import bucket_start, parse_timestamp
 from logloom.functions.traffic import cache_label, last_value, latency_bin, path_label
 from logloom.functions.uri import path_segments, query_map, uri_path, uri_query
@@ -539,7 +539,8 @@ def stream_lines(spark, sf_dir):
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    return access_log_from_events(arriving)
+    tasks = spread(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    return access_log_from_events(arriving.repartition(tasks, "event_id"))
 
 
 def streamed_stats(spark, sf_dir):
