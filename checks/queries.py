@@ -629,7 +629,7 @@ def streamed_growing(spark, sf_dir):
     """
     folder = shared_folder(spark, "growing").removeprefix("file:")
     os.makedirs(f"{folder}/log")
-    text = lines(spark, sf_dir).select("value").repartition(4, "value").sortWithinPartitions("value")
+    text = lines(spark, sf_dir).select("value").repartition(spread(spark, sf_dir, 4), "value").sortWithinPartitions("value")
 
     def append(half):
         def run(batches):

@@ -1,13 +1,15 @@
 """How the derived log is shared out among tasks."""
 
 import datetime as dt
+import glob
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import checks.lines
-from checks.queries import lines, stream_lines
+import checks.queries
+from checks.queries import documents, lines, stream_lines, streamed_growing
 
 
 def _events(tmp_path, rows):
@@ -46,3 +48,14 @@ def test_streamed_lines_are_shared_out_as_well(spark, tmp_path, monkeypatch):
     ).option("checkpointLocation", str(tmp_path / "check")).start()
     query.awaitTermination()
     assert sum(sizes) == 6000 and max(sizes) < 750
+
+
+def test_a_growing_log_has_as_many_files_as_its_size_asks_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checks.lines, "LINES", 250, raising=False)
+    kept = str(tmp_path / "kept")
+    monkeypatch.setattr(checks.queries, "shared_folder", lambda _, purpose: f"{kept}/{purpose}")
+    found = streamed_growing(spark, _events(tmp_path, 2000))
+    files = glob.glob(f"{kept}/growing/log/access-*.log")
+    sizes = [sum(1 for _ in open(f)) for f in files]
+    assert len(files) == 8 and sum(sizes) == 2000 and max(sizes) < 400
+    assert found.count() == documents(spark, str(tmp_path)).count()
