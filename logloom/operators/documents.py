@@ -148,11 +148,14 @@ def source_json(documents: DataFrame) -> Column:
             if c in present
         ]
     )
-    extra = F.map_filter(
-        F.col("extra"),
-        lambda k, _: ~F.coalesce(F.array_contains(overridden, k), F.lit(False))
-        & ~F.map_contains_key(paths, k),
+    # Inside a lambda these would be evaluated per key; few documents have a key to leave out.
+    taken = F.concat(overridden, F.map_keys(paths))
+    others = F.transform(
+        F.array(taken),
+        lambda t: F.map_filter(F.col("extra"), lambda k, _: ~F.coalesce(F.array_contains(t, k), F.lit(False))),
     )
+    clash = F.coalesce(F.arrays_overlap(F.map_keys("extra"), taken), F.lit(False))
+    extra = F.when(clash, F.get(others, F.lit(0))).otherwise(F.col("extra"))
     members = [
         F.nullif(_members(F.to_json(part)), F.lit("")) for part in (known, paths, extra)
     ]
@@ -160,8 +163,8 @@ def source_json(documents: DataFrame) -> Column:
 
 
 def _members(json: Column) -> Column:
-    """The text between the braces of a JSON object."""
-    return F.substr(json, F.lit(2), F.char_length(json) - 2)
+    """The text between the braces of a JSON object, cut by bytes."""
+    return F.substring(json.cast("binary"), F.lit(2), F.octet_length(json) - 2).cast("string")
 
 
 def to_envelope(documents: DataFrame, doc_type: str = DEFAULT_TYPE) -> DataFrame:
@@ -177,7 +180,8 @@ def json_lines(documents: DataFrame, doc_type: str = DEFAULT_TYPE) -> DataFrame:
     head = F.to_json(F.struct("_id", "_index", F.lit(doc_type).alias("_type")))
     return documents.select(
         F.concat(
-            F.substr(head, F.lit(1), F.char_length(head) - 1),
+            F.lit("{"),
+            _members(head),
             F.lit(',"_source":'),
             source_json(documents),
             F.lit("}"),
