@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import contextlib
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +42,9 @@ from logloom.llm.tokens import token_ids
 BLOCK_IDS = 1 << 17
 BLOCK_DOCS = 1 << 16
 #: Bytes of blocks that a writing or reading task holds at once (a Parquet row group).
-GROUP_BYTES = 1 << 24
+GROUP_BYTES = 1 << 22
+#: Without the second option, Parquet's writer looks at its sizes only after 100 rows.
+GROUPS = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 #: Bytes of texts that a Python worker is given at once.
 BATCH_BYTES = 1 << 22
 
@@ -118,7 +119,7 @@ def write_token_ids(
     make = functools.partial(_blocks, path=tokenizer, end_id=end_id, block_ids=block_ids)
     blocks = ordered.select("doc_id", "text").mapInArrow(make, BLOCKS)
     with _batch_bytes(spark, BATCH_BYTES):
-        blocks.write.option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
+        blocks.write.options(**GROUPS).parquet(f"{path}/blocks")
     totals = _read(spark, path, "blocks", BLOCKS).groupBy("shard").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids")
     )
@@ -173,13 +174,6 @@ def read_token_ids(spark: SparkSession, path: str, low: int | None = None, high:
     )
 
 
-def _checksums(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        sums = [zlib.crc32(ids.as_buffer()) for ids in batch["ids"]]
-        kept = [batch[c] for c in ("doc_id", "start", "n_tokens")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def token_checksums(documents: DataFrame) -> DataFrame:
     """The documents of ``read_token_ids`` with a checksum in place of their ids."""
-    return documents.mapInArrow(_checksums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -3,15 +3,17 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from logloom.llm import idfile
 from logloom.llm.eliasfano import SAMPLE, EliasFano
 from logloom.llm.entry import op12_token_id_output
-from logloom.llm.idfile import read_token_ids, write_token_ids
+from logloom.llm.idfile import read_token_ids, token_checksums, write_token_ids
 from logloom.llm.tokens import token_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -110,3 +112,19 @@ def test_ranges(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     write_token_ids(spark.createDataFrame([], SCHEMA), str(tmp_path / "a"), PATH)
     assert read_token_ids(spark, str(tmp_path / "a")).collect() == []
+
+
+def test_a_reading_task_holds_few_blocks(spark, tmp_path, monkeypatch):
+    """Row groups end at their size, not only after 100 blocks; no text or id goes through Python a second time."""
+    monkeypatch.setitem(idfile.GROUPS, "parquet.block.size", 1 << 16)
+    docs = spark.range(1, 81).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 1000), i -> id * i), ' ') AS text")
+    path = str(tmp_path / "a")
+    write_token_ids(docs.coalesce(1), path, PATH, block_ids=1 << 10)
+    groups = []
+    for file in (tmp_path / "a" / "blocks").glob("*.parquet"):
+        about = pq.ParquetFile(file).metadata
+        groups += [about.row_group(i) for i in range(about.num_row_groups)]
+    blocks = sum(g.num_rows for g in groups)
+    assert blocks == 80 and max(g.num_rows for g in groups) <= 20
+    found = {(r.doc_id, r.ids_crc32) for r in token_checksums(read_token_ids(spark, path)).collect()}
+    assert found == {(r.doc_id, zlib.crc32(r.ids)) for r in read_token_ids(spark, path).collect()}
