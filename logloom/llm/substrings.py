@@ -7,10 +7,12 @@ compacted into one path by joins. Runs of a path in a document are its source
 coordinates; a run is removed where the path stands in an earlier document.
 
 Most windows stand once, and never become edges: each window has a minimizer
-(the least hash of its inner word 5-grams), windows next to each other share it,
-and only windows whose minimizer stands in two documents are looked at again.
-Equal windows have equal minimizers, so nothing repeated is missed. The windows
-looked at again are told apart by a cryptographic digest of their words; fast
+(the least hash of its inner word 5-grams), windows next to each other share it
+and form a stretch, and only stretches whose minimizer stands in two documents are
+looked at again. Equal windows have equal minimizers, so nothing repeated is missed.
+Where all stretches of a minimizer have the same words, their windows stand in the
+same documents, and the stretch is one edge of the graph; else each window is one.
+Stretches and windows are told apart by cryptographic digests of their words; fast
 hashes, for which collisions can be made, only choose minimizers and name nodes.
 
 Null texts have no words. Documents with a null ``doc_id`` are not compared and
@@ -30,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
-from logloom.llm.store import stored, texts
+from logloom.llm.store import kept, stored, texts
 from logloom.llm.words import Words, slices, window_hashes
+from logloom.shared import delete_folder
 
 SIZE = 13
 GRAM = 5
@@ -46,63 +49,79 @@ def _runs(words: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _minimizers(batches: Iterator[pa.RecordBatch], size: int, gram: int):
+    """Minimizers of each document, with a digest of their stretches' words."""
     for batch in slices(batches):
         words = Words(batch["text"])
-        hashes = words.hashes()
+        hashes, (joined, start, end) = words.hashes(), words.joined()
         out = []
         for doc_id, lo, hi in zip(batch["doc_id"].to_pylist(), words.bounds[:-1], words.bounds[1:]):
             if hi - lo >= size and doc_id is not None:
-                least, first, end = _runs(hashes[lo:hi], size, gram)
-                out.append((least.view(np.int64), np.full(len(least), doc_id), first, end))
-        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64)] * 4
-        kinds = (np.int64, np.int64, np.int32, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], ["m", "doc_id", "lo", "hi"])
+                least, first, last = _runs(hashes[lo:hi], size, gram)
+                kinds = _digests(joined, start[lo + first], end[lo + last + size - 2], 8)
+                out.append((least.view(np.int64), kinds[:, 0], np.full(len(least), doc_id)))
+        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64)] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["m", "kind", "doc_id"])
 
 
-def _digests(joined: bytes, start: np.ndarray, end: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Two 64-bit halves of a digest of the words of each window."""
-    spans = zip(start[at].tolist(), end[at + size - 1].tolist())
-    parts = [hashlib.blake2b(joined[a:b], digest_size=16).digest() for a, b in spans]
-    return np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
+def _digests(joined: bytes, start: np.ndarray, end: np.ndarray, size: int = 16) -> np.ndarray:
+    """A digest of the bytes from each start to its end, as 64-bit parts."""
+    digest = functools.partial(hashlib.blake2b, digest_size=size)
+    parts = [digest(joined[a:b]).digest() for a, b in zip(start.tolist(), end.tolist())]
+    return np.frombuffer(b"".join(parts), np.int64).reshape(-1, size // 8)
 
 
-def _edges(batches: Iterator[pa.RecordBatch], size: int):
-    """Windows in the given ranges as edges between their ends."""
+def _edges(batches: Iterator[pa.RecordBatch], size: int, gram: int):
+    """Stretches of the given minimizers as edges between their ends, whole or window by window."""
     signed = lambda x: pa.array(x.view(np.int64))
     for batch in slices(batches):
         words = Words(batch["text"])
         hashes, (joined, start, end) = words.hashes(), words.joined()
-        for doc_id, ranges, lo, hi in zip(batch["doc_id"].to_pylist(), batch["ranges"].to_pylist(), words.bounds[:-1], words.bounds[1:]):
-            own = hashes[lo:hi]
-            if len(own) < size:
+        out = []
+        shared, whole = batch["shared"].to_pylist(), batch["whole"].to_pylist()
+        for doc_id, ms, one, lo, hi in zip(batch["doc_id"].to_pylist(), shared, whole, words.bounds[:-1], words.bounds[1:]):
+            if hi - lo < size:
                 continue
-            ends = window_hashes(own, size - 1)
-            # rows that repeat a doc_id may differ in text, and so in their windows
-            spans = [np.arange(r["lo"], min(r["hi"], len(own) - size + 1)) for r in ranges]
-            at = np.unique(np.concatenate(spans)) if spans else np.zeros(0, np.int64)
-            halves = _digests(joined, start[lo:hi], end[lo:hi], at, size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(halves[:, 0]), pa.array(halves[:, 1]), signed(ends[at]), signed(ends[at + 1]), pa.array(np.full(len(at), doc_id, np.int64)), pa.array(at.astype(np.int32))],
-                ["h", "check", "u", "v", "doc_id", "at"],
-            )
+            least, first, last = _runs(hashes[lo:hi], size, gram)
+            ends = window_hashes(hashes[lo:hi], size - 1)
+            least = least.view(np.int64)
+            once = np.isin(least, np.array(one, np.int64))
+            many = np.flatnonzero(np.isin(least, np.array(ms, np.int64)) & ~once)
+            spans = [np.arange(a, b) for a, b in zip(first[many].tolist(), last[many].tolist())]
+            at = np.concatenate([first[once], *spans])
+            n = np.concatenate([(last - first)[once], np.ones(len(at) - int(once.sum()), np.int64)])
+            halves = _digests(joined, start[lo + at], end[lo + at + n + size - 2])
+            out.append((halves[:, 0], halves[:, 1], ends[at], ends[at + n], np.full(len(at), doc_id, np.int64), at, n))
+        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, np.int64)] * 7
+        yield pa.RecordBatch.from_arrays(
+            [*map(signed, columns[:5]), *(pa.array(c.astype(np.int32)) for c in columns[5:])],
+            ["h", "check", "u", "v", "doc_id", "at", "n"],
+        )
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """(doc_id, path, lo, hi, first_doc): words [lo, hi) of ``doc_id`` lie in
     windows of one compacted path that stands in ``first_doc`` before."""
+    spark = docs.sparkSession
     whole = texts(docs).where("doc_id IS NOT NULL")
-    runs = whole.mapInArrow(functools.partial(_minimizers, size=size, gram=gram), "m bigint, doc_id bigint, lo int, hi int")
-    shared = stored(
-        runs.groupBy("m").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("m"), "minimizers"
+    runs = whole.mapInArrow(functools.partial(_minimizers, size=size, gram=gram), "m bigint, kind bigint, doc_id bigint")
+    of = "OVER (PARTITION BY m)"
+    shared, shared_at = kept(
+        runs.selectExpr("m", "doc_id", f"min(doc_id) {of} < max(doc_id) {of} AS shared", f"min(kind) {of} = max(kind) {of} AS whole")
+        .where("shared").drop("shared"),
+        "minimizers",
+    )
+    marks = shared.groupBy("doc_id").agg(
+        F.collect_set("m").alias("shared"), F.collect_set(F.expr("IF(whole, m, NULL)")).alias("whole")
     )
-    ranges = runs.join(shared, "m", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    occurrences = stored(
-        whole.join(ranges, "doc_id").mapInArrow(
-            functools.partial(_edges, size=size), "h bigint, check bigint, u bigint, v bigint, doc_id bigint, at int"
+    occurrences, occurrences_at = kept(
+        whole.join(marks, "doc_id").select("doc_id", "text", "shared", "whole").mapInArrow(
+            functools.partial(_edges, size=size, gram=gram),
+            "h bigint, check bigint, u bigint, v bigint, doc_id bigint, at int, n int",
         ),
         "windows",
     )
-    edges = stored(
+    delete_folder(spark, shared_at)
+    edges, edges_at = kept(
         occurrences.groupBy("h", "check")
         .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.first("u").alias("u"), F.first("v").alias("v"))
         .where("first_doc < last_doc").drop("last_doc"),
@@ -117,15 +136,24 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
         .where("ins = 1 AND outs = 1 AND x = y AND a != b").select("a", "b")
     )
     paths = connected_components(links).select(F.col("node").alias("h"), F.col("root").alias("path"))
-    compacted = stored(edges.join(paths, "h", "left").select("h", "check", "first_doc", F.coalesce("path", "h").alias("path")), "paths")
+    compacted, compacted_at = kept(
+        edges.join(paths, "h", "left").select("h", "check", "first_doc", F.coalesce("path", "h").alias("path")), "paths"
+    )
+    delete_folder(spark, edges_at)
     placed = occurrences.join(compacted, ["h", "check"]).where("first_doc < doc_id")
-    # consecutive places on one path are one run
-    return (
-        placed.selectExpr("doc_id", "path", "first_doc", "at", "at - row_number() OVER (PARTITION BY doc_id, path, first_doc ORDER BY at) AS run")
+    # places on one path that follow each other without a gap are one run
+    of = "OVER (PARTITION BY doc_id, path, first_doc ORDER BY at, n ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    spans = stored(
+        placed.selectExpr("doc_id", "path", "first_doc", "at", "n", f"at <= max(at + n) {of} 1 PRECEDING) AS joins")
+        .selectExpr("*", f"count_if(joins IS NOT TRUE) {of} CURRENT ROW) AS run")
         .groupBy("doc_id", "path", "first_doc", "run")
-        .agg(F.min("at").alias("lo"), (F.max("at") + size).alias("hi"))
-        .drop("run")
+        .agg(F.min("at").alias("lo"), (F.max(F.expr("at + n")) + (size - 1)).alias("hi"))
+        .drop("run"),
+        "spans",
     )
+    delete_folder(spark, occurrences_at)
+    delete_folder(spark, compacted_at)
+    return spans
 
 
 def _cut(batches: Iterator[pa.RecordBatch]):

@@ -1,7 +1,9 @@
 """Registered queries against brute force on a whole small table."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
 from collections import defaultdict
 from dataclasses import replace
@@ -11,7 +13,7 @@ import pytest
 import xxhash
 from conftest import SF_DIR
 
-from logloom.llm import entry
+from logloom.llm import entry, store, substrings
 from logloom.llm.embeddings import near_duplicate_embeddings
 from logloom.llm.secrets import RULES, redact_secrets, scan_secrets, scan_unseen
 from logloom.llm.simhash import near_duplicates
@@ -94,6 +96,33 @@ def test_substrings_odd_rows(spark):
     assert len(rows) == 15 and not any(r.n_removed for r in rows if r.doc_id in (None, 1))
 
 
+def test_substrings_of_many_rows_with_one_key(spark):
+    """Two passages that lie apart stay apart, however often their row comes."""
+    whole = [f"w{i}" for i in range(26)]
+    texts = {1: whole, 2: whole, 3: [*whole[:13], *(f"x{i}" for i in range(30)), *whole[13:]]}
+    docs = spark.createDataFrame([(k, " ".join(texts[k]), "", 0) for k in [1, 2] + [3] * 60], SCHEMA)
+    assert {(r.doc_id, r.n_removed) for r in remove_repeats(docs).collect()} == {(1, 0), (2, 26), (3, 26)}
+
+
+def test_substrings_by_stretches(spark, tmp_path, monkeypatch):
+    """Stretches that stand only whole are one edge, and tables go when they have been read."""
+    monkeypatch.setattr(store, "shared_folder", lambda _, purpose, n=itertools.count(): f"{tmp_path}/{purpose}-{next(n)}")
+    rng = random.Random(3)
+    whole = [f"w{rng.randrange(900)}" for _ in range(600)]
+    texts = {1: " ".join(whole), 2: " ".join(whole), 3: " ".join(whole[100:140] + ["x"] + whole[300:]), 4: " ".join(whole[90:130])}
+    docs = spark.createDataFrame([(k, t, "", 0) for k, t in texts.items()], SCHEMA)
+    sizes, delete = {}, substrings.delete_folder
+
+    def counted(spark, folder):
+        sizes[folder.rsplit("/", 1)[1].split("-")[0]] = spark.read.parquet(folder).count()
+        delete(spark, folder)
+
+    monkeypatch.setattr(substrings, "delete_folder", counted)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in remove_repeats(docs).collect()} == cut(texts, 13)
+    assert sizes["windows"] < (2 * 588 + 40 + 289 + 28) / 3
+    assert not {p.name.split("-")[0] for p in tmp_path.iterdir()} & {"minimizers", "windows", "repeated", "paths", "moves"}
+
+
 def test_words_that_fast_hashes_confuse(spark):
     """Words of which every polynomial hash modulo a power of two is the same."""
     word = "".join("ab"[i.bit_count() & 1] for i in range(1024))
