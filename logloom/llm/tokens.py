@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import os
 import re
-import sys
-from array import array
+import struct
 from collections.abc import Iterator
 
-#: Words and parts of words of at most ``LONGEST`` bytes that a Python worker remembers.
-CACHE_WORDS = 300_000
+#: Words and parts of words of at most ``LONGEST`` bytes that a Python worker remembers: some
+#: 150 bytes each. What is forgotten has to be merged again, at ten times the cost of a look-up.
+CACHE_WORDS = 1_000_000
 LONGEST = 64
 #: Bytes of a text that are split into words at once.
 SLAB = 1 << 20
@@ -21,14 +22,17 @@ SLAB = 1 << 20
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Small letters between marks that are no part of an added token or of 's and the like.
+_LETTERS = re.compile(r"([!-&(-/:;=-@\[-`{-~]*)([a-zß-öø-ÿ]+)([!-/:;=-@\[-`{-~]*)")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte: itself if it prints, else the next one from 256."""
+def _byte_letters() -> str:
+    """The letters that stand for the bytes: itself if it prints, else the next one from 256."""
     prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = (b for b in range(256) if b not in prints)
-    return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
+    by_byte = {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
+    return "".join(by_byte[b] for b in range(256))
 
 
 class _Remembered(dict):
@@ -55,10 +59,7 @@ class _Remembered(dict):
 
 
 def _packed(ids: list[int]) -> bytes:
-    numbers = array("I", ids)
-    if sys.byteorder == "big":
-        numbers.byteswap()
-    return numbers.tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @functools.lru_cache(maxsize=2)
@@ -89,18 +90,27 @@ def _encoder(path: str):
         return lambda text: plain(text.decode())
     model, letters = tokenizer.model, _byte_letters()
 
+    def of_part(part: bytes) -> bytes:
+        text = codecs.charmap_decode(part, "strict", letters)[0]
+        return _packed([t.id for t in model.tokenize(text)])
+
     def of_word(word: bytes) -> bytes:
+        if word.isalpha() and word.islower():
+            return of_part(word)
         text = word.decode()
-        if not (word.isalpha() and word.islower()):
+        found = _LETTERS.fullmatch(text)
+        if found:
+            head, inner, tail = found.groups()
+            if not head and not tail:
+                return of_part(word)
+            parts = [part for part in (head, inner, tail) if part]
+        else:
             if "<|" in text or not _PLAIN.fullmatch(text):
                 return plain(text)
             parts = _PARTS.findall(text.lower())
-            if len(parts) > 1:
-                return b"".join([words[part.encode()] for part in parts])
-            (text,) = parts
-            if not text.isascii():
-                text = text.encode().decode("latin-1").translate(letters)
-        return _packed([t.id for t in model.tokenize(text)])
+            if len(parts) == 1:
+                return of_part(parts[0].encode())
+        return b"".join([words[part.encode()] for part in parts])
 
     words = _Remembered(of_word)
 

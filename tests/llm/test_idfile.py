@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from logloom.llm import idfile
+from logloom.llm import idfile, tokens
 from logloom.llm.eliasfano import SAMPLE, EliasFano
 from logloom.llm.entry import op12_token_id_output
 from logloom.llm.idfile import read_token_ids, token_checksums, write_token_ids
@@ -37,6 +37,35 @@ def test_ids_are_those_of_the_plain_call(tokenizer):
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_ids_of_letters_between_marks(tokenizer):
+    texts = ["(état), dogs' \"élan\" l'été 's 't' <a> <|b|> a<|> ÉTÉ, Été! x×, ÿ÷ ß... e\u0301, “ça”, 'tis '\"s"]
+    chosen = random.Random(2)
+    pool = [*map(chr, range(33, 127)), *"éàßÿÉÀ×÷", *"abcdest" * 8, *"'(),.<|" * 3]
+    texts += ["".join(chosen.choices(pool, k=chosen.randint(1, 7))) for _ in range(6000)]
+    for text in texts:
+        ids = np.frombuffer(token_ids(text, PATH), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_words_met_again_are_not_merged_again(monkeypatch):
+    """Beside 359,000 words with and without a mark, a word still reaches the tokenizer's model once."""
+    made, packed = [0], tokens._packed
+
+    def counted(ids):
+        made[0] += 1
+        return packed(ids)
+
+    monkeypatch.setattr(tokens, "_packed", counted)
+    tokens._encoder.cache_clear()
+    letters = "abcdefghijklmnopqrstuvwx"
+    text = " ".join(f"{a}{b}{c}{d}," for a in letters for b in letters for c in letters[:13] for d in letters).encode()
+    encode = tokens._encoder(PATH)
+    first = encode(text)
+    once = made[0]
+    assert encode(text) == first and made[0] == once
+    tokens._encoder.cache_clear()
+
+
 def test_ids_of_another_kind_of_tokenizer():
     path = public_tokenizers.path("byte_bpe_50k.json")
     text = "Two  spaces\n\nand <|endoftext|> é"
